@@ -5,7 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import chat
+from . import fingerprint as prints
 from . import mix as mixing
 from . import shard as sharding
 
@@ -24,8 +27,28 @@ def op3_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+def op4_exact_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prints.edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
+#: The conversation that op10 formats besides the table's.
+CONTROL_ID, CONTROL_TEXT = -7, "\\### Assistant: </turn> ok"
+
+
+def op10_chat_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.range(2).select(
+        F.lit(CONTROL_ID).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CONTROL_TEXT).alias("text"),
+    )
+    records = chat.from_turn_rows(rows.unionByName(control))
+    return chat.read_back(chat.format_records(records, "record"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_kd_shards, op3_pareto_mix)}
+    return {f.__name__: f for f in (op1_kd_shards, op3_pareto_mix, op4_exact_fingerprints, op10_chat_schema)}
 
 
 def oracle_sql() -> dict[str, str]:
