@@ -65,8 +65,9 @@ def _class(points: list[int]) -> str:
 
 
 def _replace_all(text: Column, pairs: list[tuple[str, str]]) -> Column:
-    table = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs])
-    return F.aggregate(table, text, lambda t, p: F.replace(t, p["a"], p["b"]))
+    """Every pair's first string replaced by its second, in turn; the table is one literal."""
+    table = F.split(F.lit("\2".join(f"{a}\1{b}" for a, b in pairs)), "\2")
+    return F.aggregate(table, text, lambda t, p: F.replace(t, F.substring_index(p, "\1", 1), F.substring_index(p, "\1", -1)))
 
 
 #: Characters that lower case alone brings to canonical form: most of Latin text.
