@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import chat
 from . import fingerprint as prints
+from . import langid
 from . import mix as mixing
 from . import shard as sharding
 
@@ -47,8 +48,14 @@ def op10_chat_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_records(records, "record"))
 
 
+def op8_compression_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = langid.identify(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    held_out = langid.fold(F.col("doc_id")) == langid.HELD_OUT
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_kd_shards, op3_pareto_mix, op4_exact_fingerprints, op10_chat_schema)}
+    return {f.__name__: f for f in (op1_kd_shards, op3_pareto_mix, op4_exact_fingerprints, op8_compression_langid, op10_chat_schema)}
 
 
 def oracle_sql() -> dict[str, str]:
