@@ -11,6 +11,7 @@ from . import chat
 from . import fingerprint as prints
 from . import langid
 from . import mix as mixing
+from . import ngramjoin
 from . import shard as sharding
 
 N_SHARDS = 24
@@ -48,6 +49,10 @@ def op10_chat_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_records(records, "record"))
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.join_components(_table(spark, sf_dir, "documents"))
+
+
 def op8_compression_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = langid.identify(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     held_out = langid.fold(F.col("doc_id")) == langid.HELD_OUT
@@ -55,7 +60,7 @@ def op8_compression_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_kd_shards, op3_pareto_mix, op4_exact_fingerprints, op8_compression_langid, op10_chat_schema)}
+    return {f.__name__: f for f in (op1_kd_shards, op3_pareto_mix, op4_exact_fingerprints, op7_ngram_jaccard, op8_compression_langid, op10_chat_schema)}
 
 
 def oracle_sql() -> dict[str, str]:
