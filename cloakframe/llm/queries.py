@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat
+from . import decontaminate
 from . import fingerprint as prints
 from . import langid
 from . import mix as mixing
@@ -33,6 +34,10 @@ def op4_exact_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prints.edited_fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op9_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 #: The conversation that op10 formats besides the table's.
 CONTROL_ID, CONTROL_TEXT = -7, "\\### Assistant: </turn> ok"
 
@@ -60,7 +65,7 @@ def op8_compression_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_kd_shards, op3_pareto_mix, op4_exact_fingerprints, op7_ngram_jaccard, op8_compression_langid, op10_chat_schema)}
+    return {f.__name__: f for f in (op1_kd_shards, op3_pareto_mix, op4_exact_fingerprints, op7_ngram_jaccard, op8_compression_langid, op9_template_decontamination, op10_chat_schema)}
 
 
 def oracle_sql() -> dict[str, str]:
