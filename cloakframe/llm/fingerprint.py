@@ -21,9 +21,8 @@ from .common import Scratch
 #: Of next-document blocks: rows in one, and blocks at most of the first level.
 BLOCK_ROWS = 20_000
 FAN = 128
-#: Parts of a bucket that are compared apart; bits of the filter of buckets of several.
+#: Parts of a bucket that are compared apart.
 SPLITS = 64
-FILTER_BITS = 1 << 20
 
 
 @cache
@@ -107,46 +106,32 @@ def _print(h1: Column, h2: Column) -> Column:
     return F.lower(F.concat(F.lpad(F.hex(h1), 16, "0"), F.lpad(F.hex(h2), 16, "0")))
 
 
-def _bit(h: Column, bits: bytes) -> Column:
-    """Whether bit (h mod FILTER_BITS) is set in ``bits``."""
-    at = F.pmod(h, F.lit(FILTER_BITS)).cast("int")
-    byte = F.conv(F.hex(F.substring(F.lit(bytearray(bits)), F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
-    return F.call_function("shiftright", byte, at.bitwiseAND(F.lit(7))).bitwiseAND(F.lit(1)) == 1
-
-
-def collisions(keyed: DataFrame) -> DataFrame:
+def collisions(docs: DataFrame, keyed: DataFrame, scratch: Scratch) -> DataFrame:
     """(id, h1, h2, sha) of rows that share 128 bits with different canonical bytes.
 
-    ``keyed``: id, text, h1, h2. Rows of buckets of several are compared byte by byte
-    with the first row of their part of the bucket (by hash of the id, SPLITS parts), and
-    the parts' first rows with the bucket's: so no task holds a whole hot bucket. A
-    bit filter of fixed size keeps most rows that are alone in their bucket out of the
-    shuffle; where it saturates, it lets all through.
+    docs: id, text; keyed: id, h1, h2 of the same rows. Only rows of buckets of several
+    bring their texts. They are compared byte by byte with the first row of their part
+    of the bucket (by hash of the id, SPLITS parts), and the parts' first rows with the
+    bucket's, so no task holds a whole hot bucket.
     """
-    several = keyed.groupBy("h1", "h2").agg(F.count("*").alias("m")).where("m > 1")
-    bits = bytearray(FILTER_BITS // 8)
-    for r in several.select(F.pmod("h1", F.lit(FILTER_BITS)).cast("int").alias("b")).distinct().toLocalIterator():
-        bits[r["b"] >> 3] |= 1 << (r["b"] & 7)
-    rows = keyed.where(_bit(F.col("h1"), bytes(bits))).withColumn("part", F.pmod(F.xxhash64("id"), F.lit(SPLITS)))
+    several = keyed.groupBy("h1", "h2").agg(F.count("*").alias("m")).where("m > 1").select(F.col("h1").alias("_1"), F.col("h2").alias("_2"))
+    met = keyed.join(several, (F.col("h1") == F.col("_1")) & (F.col("h2") == F.col("_2")))
+    met = met.select(F.col("id").alias("_id"), "h1", "h2").distinct()
+    rows = docs.join(met, F.col("id").eqNullSafe(F.col("_id"))).select("id", "h1", "h2", "text", F.pmod(F.xxhash64("id"), F.lit(SPLITS)).alias("part"))
 
-    def firsts(t: DataFrame, *by: str) -> DataFrame:
-        first = F.min(F.struct(F.col("id").isNull().alias("n"), "id", F.xxhash64("text").alias("t"), "text"))
-        return t.groupBy("h1", "h2", *by).agg(first.alias("first"))
+    def compared(t: DataFrame, *by: str) -> DataFrame:
+        """t's rows with the text of their group's first row."""
+        first = F.min(F.struct(F.col("id").isNull().alias("n"), "id", F.xxhash64("text").alias("t"), "text")).getField("text")
+        heads = t.groupBy("h1", "h2", *by).agg(first.alias("_text")).select("_text", *[F.col(c).alias(f"_{c}") for c in ("h1", "h2", *by)])
+        return t.join(heads, [F.col(c) == F.col(f"_{c}") for c in ("h1", "h2", *by)])
 
     def apart(t: DataFrame, *by: str) -> DataFrame:
-        """Rows of t whose canonical bytes are not those of their group's first."""
-        first = firsts(t, *by).select(*[F.col(c).alias(f"_{c}") for c in ("h1", "h2", *by)], F.col("first.text").alias("_text"))
-        on = [F.col(c) == F.col(f"_{c}") for c in ("h1", "h2", *by)]
-        differs = t.join(first, on).where("text != _text").where(canonical(F.col("text")) != canonical(F.col("_text")))
-        return differs.select("id", "h1", "h2", F.sha2(canonical(F.col("text")), 256).alias("sha"))
+        both = compared(t, *by).where("text <> _text").withColumn("canon", canonical(F.col("text")))
+        odd = both.where(F.col("canon") != canonical(F.col("_text")))
+        return odd.select("id", "h1", "h2", F.sha2(F.col("canon").cast("binary"), 256).alias("sha"))
 
-    heads = firsts(rows, "part").select("h1", "h2", "first.id", "first.text")
-    odd = apart(rows, "part").unionByName(apart(heads))
-    # a part whose first row is odd in the bucket: its equals are odd too
-    odd_heads = apart(heads)
-    equals = keyed.join(odd_heads.select(F.col("h1").alias("_1"), F.col("h2").alias("_2"), F.col("sha").alias("_s")), (F.col("h1") == F.col("_1")) & (F.col("h2") == F.col("_2")))
-    equals = equals.where(F.sha2(canonical(F.col("text")), 256) == F.col("_s")).select("id", "h1", "h2", F.col("_s").alias("sha"))
-    return odd.unionByName(equals).distinct()
+    heads = rows.groupBy("h1", "h2", "part").agg(F.min(F.struct("id", "text")).alias("f")).select("f.id", "h1", "h2", "f.text")
+    return scratch.keep(apart(rows, "part").unionByName(apart(heads)).distinct())
 
 
 def _marked(rows: DataFrame, odd: DataFrame, id_col: str) -> DataFrame:
@@ -157,18 +142,23 @@ def _marked(rows: DataFrame, odd: DataFrame, id_col: str) -> DataFrame:
     return rows.join(odd, on, "left").withColumn("fingerprint", F.concat(_print(F.col("h1"), F.col("h2")), mark)).drop("_id", "_1", "_2", "_sha")
 
 
-def fingerprints(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+def fingerprints(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id", scratch: Scratch | None = None) -> DataFrame:
     """id, n_chars and fingerprint of each row. Null text counts as empty; equal texts have
     equal fingerprints; an empty table stays empty; repeated rows stay."""
-    base = _keyed(docs, text_col, id_col)
-    out = _marked(base.withColumn("n_chars", F.length("text").cast("bigint")).drop("text"), collisions(base), "id")
-    return out.select(F.col("id").alias(id_col), "n_chars", "fingerprint")
+    scratch = scratch or Scratch(docs.sparkSession, "fingerprint")
+    base = _base(docs, text_col, id_col)
+    out = scratch.keep(_hashed(base).withColumn("n_chars", F.length("text").cast("bigint")).drop("text"))
+    marked = _marked(out, collisions(base, out.drop("n_chars"), scratch), "id")
+    return marked.select(F.col("id").alias(id_col), "n_chars", "fingerprint")
+
 
+def _base(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    return docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
 
-def _keyed(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    base = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    h1, h2 = wide_hash(canonical(F.col("text")))
-    return base.withColumn("h1", h1).withColumn("h2", h2)
+
+def _hashed(base: DataFrame) -> DataFrame:
+    h1, h2 = wide_hash(F.col("canon"))
+    return base.withColumn("canon", canonical(F.col("text"))).withColumn("h1", h1).withColumn("h2", h2).drop("canon")
 
 
 def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", cols: tuple[str, ...] = ()) -> DataFrame:
@@ -178,10 +168,10 @@ def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     Rows are dealt to blocks of neighbouring ids; each block also gets a copy of the
     first row of the block after it, so one shuffle and a window within each block do.
     """
-    n = docs.count()
+    n = docs.select(id_col).count()
     blocks = max(1, -(-n // BLOCK_ROWS))
     at = [i / blocks for i in range(1, blocks + 1)]
-    ends = docs.agg(F.percentile_approx(F.col(id_col), at, 20 * blocks).alias("e")).first()["e"] or []
+    ends = docs.select(id_col).agg(F.percentile_approx(F.col(id_col), at, 20 * blocks).alias("e")).first()["e"] or []
     ends = sorted(set(ends))  # block i: ids in (ends[i - 1], ends[i]]
     i = F.col(id_col)
     if len(ends) <= 1:
@@ -208,15 +198,16 @@ def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     return out.where("at.extra = 0").drop("at")
 
 
-def edited_fingerprints(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+def edited_fingerprints(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id", scratch: Scratch | None = None) -> DataFrame:
     """Fingerprints of each text and of its edit: the last half of its characters
     replaced by the first as many (or all) of the next document's.
 
     Likeness of two fingerprints is 1.0 if they are equal, else 0.0: a digest has no
     nearness between. Null texts count as empty.
     """
-    base = _keyed(docs, text_col, id_col)
-    rows = with_next(base, id_col="id", cols=("h1", "h2"))
+    scratch = scratch or Scratch(docs.sparkSession, "fingerprint")
+    base = _base(docs, text_col, id_col)
+    rows = with_next(_hashed(base), id_col="id", cols=("h1", "h2"))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
@@ -228,7 +219,7 @@ def edited_fingerprints(docs: DataFrame, *, text_col: str = "text", id_col: str
         met = (F.col("h1") == F.col(a[0])) & (F.col("h2") == F.col(a[1]))
         return F.when(met, canonical(F.col("text")) == canon).otherwise(F.lit(False)).cast("double")
 
-    out = rows.select(
+    out = scratch.keep(rows.select(
         "id",
         n.cast("bigint").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
@@ -237,7 +228,7 @@ def edited_fingerprints(docs: DataFrame, *, text_col: str = "text", id_col: str
         _print(F.col("e1"), F.col("e2")).alias("edited_fingerprint"),
         alike(("e1", "e2"), F.col("canon")).alias("near_edited"),
         alike(("next_h1", "next_h2"), canonical(F.col("next_text"))).alias("near_next"),
-    )
-    return _marked(out, collisions(base), "id").select(
+    ))
+    return _marked(out, collisions(base, out.select("id", "h1", "h2"), scratch), "id").select(
         F.col("id").alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"
     )

@@ -27,10 +27,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Of repeated rows of one id one stays; documents without words all stay.
     """
-    groups = ngramjoin.join_components(docs)
-    keep = groups.where("doc_id = component_id or component_id is null").select(F.col("doc_id").alias("k_")).distinct()
-    kept = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("k_")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"])
+    groups = Scratch(spark, "groups").keep(ngramjoin.join_components(docs))
+    own = groups.where("doc_id = component_id or component_id is null").groupBy(F.col("doc_id").alias("k_")).agg(F.count("*").alias("m_"))
+    alone, repeated = own.where("m_ = 1"), own.where("m_ > 1")
+
+    def kept(ids: DataFrame) -> DataFrame:
+        return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("k_")), "left_semi")
+
+    return kept(alone).unionByName(kept(repeated).dropDuplicates(["doc_id", "text"]))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
