@@ -11,7 +11,7 @@ from . import chat, decontaminate, extract
 from . import fingerprint as prints
 from . import langid
 from . import mix as mixing
-from . import ngramjoin
+from . import ngramjoin, substrings
 from . import shard as sharding
 
 N_SHARDS = 24
@@ -57,6 +57,10 @@ def op10_chat_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_records(records, "record"))
 
 
+def op6_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramjoin.join_components(_table(spark, sf_dir, "documents"))
 
@@ -68,7 +72,7 @@ def op8_compression_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_kd_shards, op2_boosted_extraction, op3_pareto_mix, op4_exact_fingerprints, op7_ngram_jaccard, op8_compression_langid, op9_template_decontamination, op10_chat_schema)}
+    return {f.__name__: f for f in (op1_kd_shards, op2_boosted_extraction, op3_pareto_mix, op4_exact_fingerprints, op6_compact_windows, op7_ngram_jaccard, op8_compression_langid, op9_template_decontamination, op10_chat_schema)}
 
 
 def oracle_sql() -> dict[str, str]:
