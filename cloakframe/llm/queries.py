@@ -11,7 +11,7 @@ from . import chat, decontaminate, extract
 from . import fingerprint as prints
 from . import langid
 from . import mix as mixing
-from . import ngramjoin, substrings
+from . import ngramjoin, pii, substrings
 from . import shard as sharding
 
 N_SHARDS = 24
@@ -57,6 +57,13 @@ def op10_chat_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_records(records, "record"))
 
 
+def op5_information_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(_table(spark, sf_dir, "documents"))
+    counts = [F.size(pii.of_kind(F.col("base"), kind)).cast("bigint").alias(f"n_{kind}") for kind in pii.KINDS]
+    digest = F.sha2(pii.written(F.col("base")).cast("binary"), 256)
+    return found.select("doc_id", *counts, digest.alias("base_sha256"), pii.written(F.col("spans")).alias("spans"))
+
+
 def op6_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeated_passages(_table(spark, sf_dir, "documents"))
 
@@ -72,7 +79,7 @@ def op8_compression_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_kd_shards, op2_boosted_extraction, op3_pareto_mix, op4_exact_fingerprints, op6_compact_windows, op7_ngram_jaccard, op8_compression_langid, op9_template_decontamination, op10_chat_schema)}
+    return {f.__name__: f for f in (op1_kd_shards, op2_boosted_extraction, op3_pareto_mix, op4_exact_fingerprints, op5_information_pii, op6_compact_windows, op7_ngram_jaccard, op8_compression_langid, op9_template_decontamination, op10_chat_schema)}
 
 
 def oracle_sql() -> dict[str, str]:
