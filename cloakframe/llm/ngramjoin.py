@@ -4,7 +4,8 @@ A document is the set of its five-word shingles. Shingles have one global order,
 ones first; a document's prefix of length n - ceil(t n) + l holds at least l of any
 partner's prefix, so l is chosen per document by the estimated cost of its candidates:
 a common prefix is lengthened, and asks for as many shared shingles before a pair is
-verified. Equal sets are one node. Pairs are verified in two turns: first each bucket's
+verified. A pair comes from a shingle only if its places there leave room for enough
+shared ones after it. Equal sets are one node. Pairs are verified in two turns: first each bucket's
 rows with a few others of it, then, once these links have joined most of a group, every
 pair of a bucket that still lies in two components; so a large group of copies costs
 rows in proportion to its size, and no link between different components is missed.
@@ -36,6 +37,7 @@ HOT_LEVEL = 31
 TASK_POSTINGS = 2_000_000
 NO_ID = -(1 << 63)
 _U = np.uint64
+_PLACE = (1 << 28) - 1
 
 
 def _need(n: np.ndarray | int, threshold: int) -> np.ndarray | int:
@@ -100,21 +102,23 @@ def _postings(nodes: DataFrame, levels, hot_level: int) -> DataFrame:
             lists = b.column("prefix")
             each = np.diff(lists.offsets.to_numpy())
             row = np.repeat(np.arange(len(each)), each)
+            place = np.arange(len(row)) - np.repeat(np.cumsum(each) - each, each)  # in the order of shingles
             key = lists.values.to_numpy()[lists.offsets[0].as_py() : lists.offsets[-1].as_py()].view(_U)
-            node, n, ell = (b.column(c).to_numpy() for c in ("node", "n", "l"))
+            node, n, ell = (b.column(c).to_numpy().astype(np.int64) for c in ("node", "n", "l"))
             lv = table[(key & _U(len(table) - 1)).astype(np.int64)].astype(np.int64)
-            keys, rows = [key[lv < hot_level]], [row[lv < hot_level]]
+            keys, picks = [key[lv < hot_level]], [np.flatnonzero(lv < hot_level)]
             for at in np.flatnonzero(lv >= hot_level):
                 parts = 2 << ((int(lv[at]) - hot_level) // 2)
                 mine = int(node[row[at]]) % parts
                 blocks = np.array([(min(mine, j) * parts + max(mine, j)) for j in range(parts)], _U)
                 with np.errstate(over="ignore"):
                     keys.append(mix64(key[at] + (blocks + _U(1)) * _U(0x9E3779B97F4A7C15)))
-                rows.append(np.full(parts, row[at]))
-            all_keys, all_rows = np.concatenate(keys), np.concatenate(rows)
-            for s in range(0, len(all_rows), 1 << 17):
-                k, r = all_keys[s : s + (1 << 17)], all_rows[s : s + (1 << 17)]
-                yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(node[r]), pa.array((n[r] * 16 + ell[r]).astype(np.int64))], names=["key", "node", "nl"])
+                picks.append(np.full(parts, at))
+            all_keys, all_picks = np.concatenate(keys), np.concatenate(picks)
+            for s in range(0, len(all_picks), 1 << 17):
+                k, r0 = all_keys[s : s + (1 << 17)], all_picks[s : s + (1 << 17)]
+                r = row[r0]
+                yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(node[r]), pa.array((n[r] << 32) | (place[r0] << 4) | ell[r])], names=["key", "node", "nl"])
 
     return nodes.mapInArrow(run, "key bigint, node bigint, nl bigint")
 
@@ -133,8 +137,13 @@ def _grouped(batches: Iterator[pa.RecordBatch], cols: tuple[str, ...]) -> tuple[
     return full, np.stack([starts[many], ends[many]], 1)
 
 
-def _fits(na: np.ndarray, nb: np.ndarray, threshold: int) -> np.ndarray:
-    return 100 * np.minimum(na, nb) >= threshold * np.maximum(na, nb)
+def _may_link(x: np.ndarray, y: np.ndarray, threshold: int) -> np.ndarray:
+    """Whether postings x and y of one shingle can be among the first l that a linking pair
+    shares: by their sizes, and by how many shingles each has from here on in the common
+    order, with the l - 1 that may come before."""
+    nx, ny = x >> 32, y >> 32
+    left = np.minimum(nx - ((x >> 4) & _PLACE), ny - ((y >> 4) & _PLACE)) + np.minimum(x & 15, y & 15) - 1
+    return (100 * np.minimum(nx, ny) >= threshold * np.maximum(nx, ny)) & ((100 + threshold) * left >= threshold * (nx + ny))
 
 
 def _pair_batch(a, b, nla, nlb, sure) -> pa.RecordBatch | None:
@@ -159,7 +168,6 @@ def _first_turn(threshold: int):
         """kind 0: pairs to count (sure: to verify whatever the count); kind 1: rows of
         larger buckets, as (key, node, nl) in a, b, cnt."""
         (key, node, nl), groups = _grouped(batches, ("key", "node", "nl"))
-        n = nl >> 4
         a, b, sure = [], [], []
         size = groups[:, 1] - groups[:, 0]
         for k in range(2, SMALL + 1):
@@ -178,7 +186,7 @@ def _first_turn(threshold: int):
             b.append(held[some])
             sure.append(np.ones(some.sum(), np.int64))
         a, b, sure = np.concatenate(a), np.concatenate(b), np.concatenate(sure)
-        ok = _fits(n[a], n[b], threshold) & (node[a] != node[b])
+        ok = _may_link(nl[a], nl[b], threshold) & (node[a] != node[b])
         if (out := _pair_batch(node[a[ok]], node[b[ok]], nl[a[ok]], nl[b[ok]], sure[ok])) is not None:
             yield out
         for s in range(0, len(held), 1 << 17):
@@ -193,7 +201,7 @@ def _second_turn(threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pairs of one larger bucket and two components, block by block."""
         (_, node, nl, root), groups = _grouped(batches, ("key", "node", "nl", "root"))
-        n = nl >> 4
+        n = nl >> 32
         a, b, held = [], [], 0
         for s, e in groups:
             if (root[s:e] == root[s]).all():
@@ -202,7 +210,7 @@ def _second_turn(threshold: int):
                 # sizes ascend: partners end where sizes grow too far apart
                 end = s + int(np.searchsorted(n[s:e], n[i] * 100 // threshold, side="right"))
                 j = np.arange(i + 1, end)
-                j = j[root[j] != root[i]]
+                j = j[(root[j] != root[i]) & _may_link(nl[i], nl[j], threshold)]
                 a.append(np.full(len(j), i))
                 b.append(j)
                 held += len(j)

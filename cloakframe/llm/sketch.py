@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame
 
 from .textscan import shingle_pieces
 
-BITS = 20
+BITS = 22
+#: Hashes that are counted at once.
+_BATCH = 1 << 22
 _REDUCERS = 16
 
 
@@ -33,10 +35,16 @@ def shingle_levels(docs: DataFrame, text_col: str, width: int = 5, bits: int = B
     size = 1 << bits
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.int64)
+        total, held, n = np.zeros(size, np.int64), [], 0
         for b in batches:
             for _, h, _ in shingle_pieces(b.column(0), width):
-                total += np.bincount((h & np.uint64(size - 1)).astype(np.int64), minlength=size)
+                held.append((h & np.uint64(size - 1)).astype(np.int32))
+                n += len(h)
+                if n >= _BATCH:
+                    total += np.bincount(np.concatenate(held), minlength=size)
+                    held, n = [], 0
+        if held:
+            total += np.bincount(np.concatenate(held), minlength=size)
         yield _pack(total)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
