@@ -50,44 +50,49 @@ def _context_word(entity: str, word: str) -> bool:
     return word in words or len(word) >= 5 and any(len(w) >= 5 and within_edits(word, w, 1) for w in words)
 
 
-def _letters(word: str) -> int:
-    """The set of a word's letters as bits; one edit changes two of them at most."""
-    out = 0
-    for c in word:
-        out |= 1 << (ord(c) % 61)
+def _shortened(word: str, most: int) -> set[str]:
+    """The word and what is left of it without up to ``most`` letters."""
+    out, last = {word}, {word}
+    for _ in range(most):
+        last = {w[:i] + w[i + 1 :] for w in last for i in range(len(w))}
+        out |= last
     return out
 
 
 @lru_cache(maxsize=1)
-def _seeds() -> tuple[dict[str, str], list[tuple[str, int, str]]]:
-    """{seed: entity}, and (seed, letters, entity) of those long enough to be misspelt."""
+def _seeds() -> tuple[dict[str, str], dict[str, tuple[str, ...]]]:
+    """{seed: entity}, and {shortened seed: seeds} of those long enough to be misspelt."""
     exact: dict[str, str] = {}
     for entity, words in P.CONCEPTS.items():
         for w in words.split():
             exact.setdefault(w, entity)
-    return exact, [(w, _letters(w), e) for w, e in exact.items() if len(w) >= 5]
+    near: dict[str, tuple[str, ...]] = {}
+    for w in exact:
+        if len(w) >= 5:
+            for x in _shortened(w, 2):
+                near[x] = (*near.get(x, ()), w)
+    return exact, near
 
 
 @lru_cache(maxsize=200_000)
 def concept_of(word: str) -> str | None:
     """The special category of a word: a seed, or one within 2 edits (1 under 6 letters);
     short acronyms only as they are."""
-    exact, long = _seeds()
-    if word in exact or len(word) < 5:
+    exact, near = _seeds()
+    if word in exact or not 5 <= len(word) <= 30:
         return exact.get(word)
-    most, mine = 2 if len(word) >= 6 else 1, _letters(word)
-    for seed, letters, entity in long:
-        if abs(len(seed) - len(word)) <= most and (letters ^ mine).bit_count() <= 2 * most and within_edits(word, seed, most):
-            return entity
-    return None
+    most = 2 if len(word) >= 6 else 1
+    found = {s for x in _shortened(word, most) for s in near.get(x, ())}
+    return next((exact[s] for s in exact if s in found and within_edits(word, s, most)), None)
 
 
 def analyze(text: str, entities: frozenset[str] | None = None) -> list[Finding]:
     """All findings whose score reaches the entity's least, overlapping or not."""
     wanted = frozenset(entities_of()) if entities is None else entities
     out = []
+    numbers = any(c.isdigit() for c in text)
     for r in _recognizers():
-        if r.entity not in wanted and r.entity != "US_BANK_NUMBER":
+        if r.entity not in wanted and r.entity != "US_BANK_NUMBER" or r.digits and not numbers:
             continue
         for m in r.regex.finditer(text):
             score = r.score

@@ -8,7 +8,6 @@ from pyspark.sql.functions import udtf
 from . import detect
 
 
-@udtf(returnType="entity string, start int, end int, score double")
 class FindPii:
     """A row for each finding in a text, overlaps resolved."""
 
@@ -18,4 +17,4 @@ class FindPii:
 
 
 def register(spark: SparkSession) -> None:
-    spark.udtf.register("find_pii", FindPii)
+    spark.udtf.register("find_pii", udtf(FindPii, returnType="entity string, start int, end int, score double"))

@@ -67,8 +67,7 @@ def documents_in(df: DataFrame, cols: list[str]) -> list[str]:
     return [c for c in cols if got[c]]
 
 
-@arrow_udf("array<struct<path:string,entity:string,n:int>>")
-def _walk(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+def _walked(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     kind = pa.list_(pa.struct([("path", pa.string()), ("entity", pa.string()), ("n", pa.int32())]))
     for values, names in batches:
         out = []
@@ -82,6 +81,10 @@ def _walk(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         yield pa.array(out, kind)
 
 
+def _walk(value: Column, name: Column) -> Column:
+    return arrow_udf(_walked, "array<struct<path:string,entity:string,n:int>>")(value, name)
+
+
 def count_in(text: str, column: str, inside: bool) -> dict[str, int]:
     """Findings by entity in one string, by the rules for its column and place."""
     if detect.is_token(text):

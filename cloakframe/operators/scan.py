@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from ..functions import detect, expr
-from . import tokens as tokening
 
 FOUND = "array<struct<entity:string,start:int,end:int,score:double>>"
 
@@ -25,7 +24,6 @@ def finder(entities: list[str] | None = None):
     """An Arrow UDF: string -> findings without overlaps, in order of start."""
     wanted = None if entities is None else frozenset(entities)
 
-    @arrow_udf(FOUND)
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         kind = pa.list_(pa.struct([("entity", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
         for b in batches:
@@ -36,11 +34,10 @@ def finder(entities: list[str] | None = None):
                 out.append([{"entity": e, "start": s, "end": t, "score": c} for e, s, t, c in got])
             yield pa.array(out, kind)
 
-    return find
+    return arrow_udf(find, FOUND)
 
 
-@arrow_udf("array<string>")
-def _strings(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+def _strings_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """The strings of a document, keys too, in order; else the value itself."""
     for b in batches:
         out = []
@@ -51,8 +48,7 @@ def _strings(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.array(out, pa.list_(pa.string()))
 
 
-@arrow_udf("string")
-def _rebuilt(values: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+def _rebuilt_of(values: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     """The value with its strings replaced by a map of (string, masked)."""
     for v, changed in values:
         out = []
@@ -70,6 +66,14 @@ def _rebuilt(values: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         yield pa.array(out, pa.string())
 
 
+def _strings(col: Column) -> Column:
+    return arrow_udf(_strings_of, "array<string>")(col)
+
+
+def _rebuilt(col: Column, changed: Column) -> Column:
+    return arrow_udf(_rebuilt_of, "string")(col, changed)
+
+
 def findings(df: DataFrame, column: str, position: Column, entities: list[str] | None = None) -> DataFrame:
     """(pos, s, found): each row's strings in order, with their findings."""
     rows = df.select(position.alias("pos"), F.posexplode(_strings(F.col(f"`{column}`"))).alias("i", "s"))
@@ -132,5 +136,3 @@ def majority_language(df: DataFrame, text: str, tell: Column, share: float = 0.8
     part = F.col("n") / F.col("total")
     return best.join(total, F.lit(True)).select(F.when(part >= share, F.col("lang")).alias("lang"), part.alias("share"))
 
-
-dictionary = tokening.dictionary
