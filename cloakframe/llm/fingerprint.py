@@ -190,12 +190,11 @@ def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     copy = F.struct(above.alias("b"), F.lit(1).alias("extra"))
     if not ends:  # no row with an id
         is_end, copy = F.lit(True), F.struct(F.lit(0).alias("b"), F.lit(1).alias("extra"))
-    rows = docs.select(id_col, *cols, text_col, F.explode(F.when(F.coalesce(is_end, F.lit(False)), F.array(here, copy)).otherwise(F.array(here))).alias("at"))
-    w = W.partitionBy("at.b").orderBy(F.col("at.extra"), i.desc_nulls_last(), F.col(text_col))
-    out = rows
-    for c in (*cols, text_col):
-        out = out.withColumn(f"next_{c}", F.lead(c).over(w))
-    return out.where("at.extra = 0").drop("at")
+    at = F.explode(F.when(F.coalesce(is_end, F.lit(False)), F.array(here, copy)).otherwise(F.array(here))).alias("at")
+    rows = docs.select(id_col, *cols, text_col, at).select(id_col, *cols, text_col, F.col("at.b").alias("block"), F.col("at.extra").alias("extra"))
+    w = W.partitionBy("block").orderBy("extra", i.desc_nulls_last(), F.col(text_col))
+    nexts = [F.lead(c).over(w).alias(f"next_{c}") for c in (*cols, text_col)]  # one window for all
+    return rows.select(id_col, *cols, text_col, "extra", *nexts).where("extra = 0").drop("extra")
 
 
 def edited_fingerprints(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id", scratch: Scratch | None = None) -> DataFrame:
