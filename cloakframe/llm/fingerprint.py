@@ -107,39 +107,47 @@ def _print(h1: Column, h2: Column) -> Column:
 
 
 def collisions(docs: DataFrame, keyed: DataFrame, scratch: Scratch) -> DataFrame:
-    """(id, h1, h2, sha) of rows that share 128 bits with different canonical bytes.
-
-    docs: id, text; keyed: id, h1, h2 of the same rows. Only rows of buckets of several
-    bring their texts. They are compared byte by byte with the first row of their part
-    of the bucket (by hash of the id, SPLITS parts), and the parts' first rows with the
-    bucket's, so no task holds a whole hot bucket.
+    """(id, raw, h1, h2, sha) of rows whose canonical bytes are not those of the first row
+    that shares their 128 bits.
+
+    docs: id, text; keyed: id, raw (hash of the text as it is), h1, h2 of the same rows.
+    Only rows of buckets of several bring their texts. They are compared byte by byte
+    with the first of their part of the bucket (by hash of the id, SPLITS parts), the
+    parts' firsts with the bucket's; so no task holds a whole hot bucket. What differs
+    anywhere is compared with the bucket's first itself.
     """
     several = keyed.groupBy("h1", "h2").agg(F.count("*").alias("m")).where("m > 1").select(F.col("h1").alias("_1"), F.col("h2").alias("_2"))
     met = keyed.join(several, (F.col("h1") == F.col("_1")) & (F.col("h2") == F.col("_2")))
-    met = met.select(F.col("id").alias("_id"), "h1", "h2").distinct()
-    rows = docs.join(met, F.col("id").eqNullSafe(F.col("_id"))).select("id", "h1", "h2", "text", F.pmod(F.xxhash64("id"), F.lit(SPLITS)).alias("part"))
-
-    def compared(t: DataFrame, *by: str) -> DataFrame:
-        """t's rows with the text of their group's first row."""
-        first = F.min(F.struct(F.col("id").isNull().alias("n"), "id", F.xxhash64("text").alias("t"), "text")).getField("text")
-        heads = t.groupBy("h1", "h2", *by).agg(first.alias("_text")).select("_text", *[F.col(c).alias(f"_{c}") for c in ("h1", "h2", *by)])
-        return t.join(heads, [F.col(c) == F.col(f"_{c}") for c in ("h1", "h2", *by)])
-
-    def apart(t: DataFrame, *by: str) -> DataFrame:
-        both = compared(t, *by).where("text <> _text").withColumn("canon", canonical(F.col("text")))
-        odd = both.where(F.col("canon") != canonical(F.col("_text")))
-        return odd.select("id", "h1", "h2", F.sha2(F.col("canon").cast("binary"), 256).alias("sha"))
-
-    heads = rows.groupBy("h1", "h2", "part").agg(F.min(F.struct("id", "text")).alias("f")).select("f.id", "h1", "h2", "f.text")
-    return scratch.keep(apart(rows, "part").unionByName(apart(heads)).distinct())
+    met = met.select(F.col("id").alias("_id"), F.col("raw").alias("_raw"), "h1", "h2").distinct()
+    own = docs.withColumn("raw", F.xxhash64("text"))
+    rows = own.join(met, F.col("id").eqNullSafe(F.col("_id")) & (F.col("raw") == F.col("_raw"))).select("id", "raw", "h1", "h2", "text", F.pmod(F.xxhash64("id"), F.lit(SPLITS)).alias("part"))
+
+    def heads_of(t: DataFrame, *by: str) -> DataFrame:
+        first = F.min(F.struct(F.col("id").isNull().alias("n"), "id", "raw", "text"))
+        return t.groupBy("h1", "h2", *by).agg(first.alias("f")).select("h1", "h2", *by, "f.id", "f.raw", "f.text")
+
+    def differing(t: DataFrame, heads: DataFrame, *by: str) -> DataFrame:
+        named = heads.select(F.col("text").alias("_text"), *[F.col(c).alias(f"_{c}") for c in ("h1", "h2", *by)])
+        both = t.join(named, [F.col(c) == F.col(f"_{c}") for c in ("h1", "h2", *by)]).where("text <> _text")
+        return both.where(canonical(F.col("text")) != canonical(F.col("_text"))).select(*t.columns)
+
+    parts = heads_of(rows, "part")
+    firsts = scratch.keep(heads_of(parts))
+    odd_parts = scratch.keep(differing(parts, firsts).select(F.col("h1").alias("_1"), F.col("h2").alias("_2"), F.col("part").alias("_p")))
+    doubtful = scratch.keep(differing(rows, parts, "part"))
+    if doubtful.isEmpty() and odd_parts.isEmpty():
+        return scratch.keep(doubtful.select("id", "raw", "h1", "h2", F.lit("").alias("sha")))
+    inside = rows.join(odd_parts, (F.col("h1") == F.col("_1")) & (F.col("h2") == F.col("_2")) & (F.col("part") == F.col("_p"))).select(*rows.columns)
+    odd = differing(doubtful.unionByName(inside), firsts)
+    return scratch.keep(odd.select("id", "raw", "h1", "h2", F.sha2(canonical(F.col("text")).cast("binary"), 256).alias("sha")).distinct())
 
 
 def _marked(rows: DataFrame, odd: DataFrame, id_col: str) -> DataFrame:
-    """rows (with h1, h2) and fingerprint: 32 hex digits, and '-' + SHA-256 for odd ones."""
-    odd = odd.select(F.col("id").alias("_id"), F.col("h1").alias("_1"), F.col("h2").alias("_2"), F.col("sha").alias("_sha"))
-    on = F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (F.col("h1") == F.col("_1")) & (F.col("h2") == F.col("_2"))
+    """rows (with raw, h1, h2) and fingerprint: 32 hex digits, and '-' + SHA-256 for odd ones."""
+    odd = odd.select(F.col("id").alias("_id"), F.col("raw").alias("_raw"), F.col("sha").alias("_sha"))
+    on = F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (F.col("raw") == F.col("_raw"))
     mark = F.when(F.col("_sha").isNotNull(), F.concat(F.lit("-"), "_sha")).otherwise("")
-    return rows.join(odd, on, "left").withColumn("fingerprint", F.concat(_print(F.col("h1"), F.col("h2")), mark)).drop("_id", "_1", "_2", "_sha")
+    return rows.join(odd, on, "left").withColumn("fingerprint", F.concat(_print(F.col("h1"), F.col("h2")), mark)).drop("_id", "_raw", "_sha")
 
 
 def fingerprints(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id", scratch: Scratch | None = None) -> DataFrame:
@@ -158,7 +166,7 @@ def _base(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
 
 def _hashed(base: DataFrame) -> DataFrame:
     h1, h2 = wide_hash(F.col("canon"))
-    return base.withColumn("canon", canonical(F.col("text"))).withColumn("h1", h1).withColumn("h2", h2).drop("canon")
+    return base.withColumn("canon", canonical(F.col("text"))).withColumn("h1", h1).withColumn("h2", h2).withColumn("raw", F.xxhash64("text")).drop("canon")
 
 
 def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", cols: tuple[str, ...] = ()) -> DataFrame:
@@ -206,7 +214,7 @@ def edited_fingerprints(docs: DataFrame, *, text_col: str = "text", id_col: str
     """
     scratch = scratch or Scratch(docs.sparkSession, "fingerprint")
     base = _base(docs, text_col, id_col)
-    rows = with_next(_hashed(base), id_col="id", cols=("h1", "h2"))
+    rows = with_next(_hashed(base), id_col="id", cols=("raw", "h1", "h2"))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
@@ -222,12 +230,13 @@ def edited_fingerprints(docs: DataFrame, *, text_col: str = "text", id_col: str
         "id",
         n.cast("bigint").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "raw",
         "h1",
         "h2",
         _print(F.col("e1"), F.col("e2")).alias("edited_fingerprint"),
         alike(("e1", "e2"), F.col("canon")).alias("near_edited"),
         alike(("next_h1", "next_h2"), canonical(F.col("next_text"))).alias("near_next"),
     ))
-    return _marked(out, collisions(base, out.select("id", "h1", "h2"), scratch), "id").select(
+    return _marked(out, collisions(base, out.select("id", "raw", "h1", "h2"), scratch), "id").select(
         F.col("id").alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"
     )
