@@ -14,7 +14,7 @@ rows in proportion to its size, and no link between different components is miss
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -123,13 +123,14 @@ def _postings(nodes: DataFrame, levels, hot_level: int) -> DataFrame:
     return nodes.mapInArrow(run, "key bigint, node bigint, nl bigint")
 
 
-def _grouped(batches: Iterator[pa.RecordBatch], cols: tuple[str, ...]) -> tuple[list[np.ndarray], np.ndarray]:
-    """A task's rows sorted by key, size and node, and where the keys of several rows start and end."""
+def _grouped(batches: Iterator[pa.RecordBatch], cols: tuple[str, ...], by: Callable[[np.ndarray], np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """A task's rows sorted by key, ``by`` of nl and node, and where the keys of several rows
+    start and end."""
     got = [[b.column(c).to_numpy() for c in cols] for b in batches if b.num_rows]
     if not got:
         return [np.zeros(0, np.int64)] * len(cols), np.zeros((0, 2), np.int64)
     full = [np.concatenate([g[i] for g in got]) for i in range(len(cols))]
-    order = np.lexsort((full[1], full[2], full[0]))
+    order = np.lexsort((full[1], by(full[2]), full[0]))
     full = [x[order] for x in full]
     starts = np.flatnonzero(np.concatenate(([True], full[0][1:] != full[0][:-1])))
     ends = np.append(starts[1:], len(full[0]))
@@ -167,7 +168,7 @@ def _first_turn(threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """kind 0: pairs to count (sure: to verify whatever the count); kind 1: rows of
         larger buckets, as (key, node, nl) in a, b, cnt."""
-        (key, node, nl), groups = _grouped(batches, ("key", "node", "nl"))
+        (key, node, nl), groups = _grouped(batches, ("key", "node", "nl"), lambda nl: (nl >> 4) & _PLACE)
         a, b, sure = [], [], []
         size = groups[:, 1] - groups[:, 0]
         for k in range(2, SMALL + 1):
@@ -180,7 +181,9 @@ def _first_turn(threshold: int):
         large = groups[size > SMALL]
         held = np.concatenate([np.arange(s, e) for s, e in large]) if len(large) else np.zeros(0, np.int64)
         hubs = np.repeat(large[:, 0], large[:, 1] - large[:, 0]) if len(large) else held
-        for other in (hubs, held - 1):  # the bucket's first, and the one before by size
+        # a row whose place of the shingle is low has few shingles of its own: the bucket's
+        # lowest is likest to all; and each row's lower neighbour
+        for other in (hubs, held - 1):
             some = (held > hubs) & (other >= hubs)
             a.append(other[some])
             b.append(held[some])
@@ -200,7 +203,7 @@ def _first_turn(threshold: int):
 def _second_turn(threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pairs of one larger bucket and two components, block by block."""
-        (_, node, nl, root), groups = _grouped(batches, ("key", "node", "nl", "root"))
+        (_, node, nl, root), groups = _grouped(batches, ("key", "node", "nl", "root"), lambda nl: nl >> 32)
         n = nl >> 32
         a, b, held = [], [], 0
         for s, e in groups:
