@@ -3,8 +3,8 @@
 Base spans are matches of fixed patterns. Beyond them, the corpus tells how strongly a
 term reveals an entity: with entity e, term t and documents as events, the pointwise
 mutual information log2 p(e, t) / (p(e) p(t)) over the information -log2 p(e) of the
-entity is the share of it that t discloses. Terms near an entity whose share reaches
-DISCLOSURE are spans of their own and are removed.
+entity is the share of it that t discloses. Terms whose share of any entity reaches
+DISCLOSURE are spans of their own wherever they stand, in every text, and are removed.
 """
 
 from __future__ import annotations
@@ -31,8 +31,6 @@ HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "ph
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 PLACEHOLDERS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]"}
 
-#: Characters on either side of an entity whose terms count as near it.
-CONTEXT = 80
 TERM = r"\p{L}[\p{L}\p{M}\p{N}_'-]{2,}"
 #: Distinct texts in which entity and term must meet; share of the entity's information.
 SUPPORT, DISCLOSURE = 3, 0.95
@@ -59,9 +57,9 @@ def of_kind(spans: Column, kind: str) -> Column:
     return F.filter(spans, lambda x: x["kind"] == kind)
 
 
-def places(text: Column, pattern: str, kind: str) -> Column:
-    """(kind, start, end, match) of all matches: their offsets are the lengths of the
-    pieces between them."""
+def places(text: Column, pattern: str, kind: str, wanted: Callable[[Column], Column] = lambda match: F.lit(True)) -> Column:
+    """(kind, start, end, match) of all matches that are wanted: their offsets are the
+    lengths of the pieces between them."""
     gaps = F.split(text, pattern, -1)
     zipped = F.arrays_zip(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"), F.transform(gaps, lambda g: F.length(g)).alias("g"))
     zipped = F.filter(zipped, lambda x: x["m"].isNotNull())
@@ -71,7 +69,7 @@ def places(text: Column, pattern: str, kind: str) -> Column:
         start = acc["at"] + x["g"]
         end = start + F.length(x["m"])
         one = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), x["m"].alias("match"))
-        return F.struct(end.alias("at"), F.concat(acc["found"], F.array(one)).alias("found"))
+        return F.struct(end.alias("at"), F.when(wanted(x["m"]), F.concat(acc["found"], F.array(one))).otherwise(acc["found"]).alias("found"))
 
     return F.aggregate(zipped, empty, step, lambda acc: acc["found"])
 
@@ -102,27 +100,26 @@ def written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
-def _contexts(docs: DataFrame) -> DataFrame:
-    """(id, digest, value, term, start, end): terms within CONTEXT characters of a base span."""
-    near = docs.where(F.size("base") > 0).select("id", "digest", "text", "base", F.explode("base").alias("s"))
-    sides = []
-    for before in (True, False):
-        low = F.greatest(F.lit(0), F.col("s.start") - CONTEXT) if before else F.col("s.end")
-        size = F.col("s.start") - low if before else F.lit(CONTEXT)
-        side = near.withColumn("low", low).withColumn("part", F.substring(F.col("text"), low + 1, size))
-        # a word that the cut goes through is not a term
-        if before:
-            cut = F.when(F.col("low") > 0, F.length(F.regexp_extract("part", r"^\S*", 0))).otherwise(F.lit(0))
-        else:
-            cut = F.lit(0)
-        side = side.withColumn("cut", cut).withColumn("part", F.substring(F.col("part"), F.col("cut") + 1, F.length("part")))
-        if not before:
-            part = F.when(F.length("part") == CONTEXT, F.regexp_replace("part", r"\S+$", "")).otherwise(F.col("part"))
-            side = side.withColumn("part", part)
-        side = side.select("id", "digest", "base", F.col("s.value").alias("value"), (F.col("low") + F.col("cut")).alias("at"), F.explode(places(F.col("part"), TERM, "term")).alias("t"))
-        side = side.select("id", "digest", "base", "value", F.lower("t.match").alias("term"), (F.col("at") + F.col("t.start")).alias("start"), (F.col("at") + F.col("t.end")).alias("end"))
-        sides.append(side.where(~F.exists("base", lambda b: (b["start"] < F.col("end")) & (F.col("start") < b["end"]))).drop("base"))
-    return sides[0].unionByName(sides[1])
+def _outside(text: Column, base: Column) -> Column:
+    """``text`` without its base spans and without words that they cut into."""
+    inner = r"[\p{L}\p{M}\p{N}_'-]"
+
+    def step(acc: Column, x: Column) -> Column:
+        gap = F.substring(text, acc["at"] + 1, F.greatest(F.lit(0), x["start"] - acc["at"]))
+        gap = F.when(acc["word"], F.regexp_replace(gap, f"^{inner}+", "")).otherwise(gap)
+        gap = F.when(F.substring(text, x["start"] + 1, F.lit(1)).rlike(inner), F.regexp_replace(gap, f"(?<!{inner}){inner}+$", "")).otherwise(gap)
+        end = F.greatest(acc["at"], x["end"])
+        return F.struct(end.alias("at"), F.substring(text, end, F.lit(1)).rlike(inner).alias("word"), F.concat(acc["out"], gap, F.lit(" ")).alias("out"))
+
+    def last(acc: Column) -> Column:
+        rest = F.substring(text, acc["at"] + 1, F.length(text))
+        return F.concat(acc["out"], F.when(acc["word"], F.regexp_replace(rest, f"^{inner}+", "")).otherwise(rest))
+
+    return F.aggregate(base, F.struct(F.lit(0).alias("at"), F.lit(False).alias("word"), F.lit("").alias("out")), step, last)
+
+
+def _terms(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
 
 
 def _filter(hashes: list[int]) -> Column:
@@ -134,23 +131,35 @@ def _filter(hashes: list[int]) -> Column:
     return F.split(F.lit(" ".join(map(str, signed))), " ").cast("array<bigint>")
 
 
-def disclosing(docs: DataFrame, contexts: DataFrame, scratch: Scratch, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
+def _bits(terms: DataFrame) -> Callable[[Column], Column]:
+    """Whether a term may be among ``terms`` (term): never a false no."""
+    slots = FILTER_WORDS * 64
+
+    def slot(term: Column) -> Column:
+        return F.pmod(F.xxhash64(term), F.lit(slots)).cast("int")
+
+    bits = _filter([r["h"] for r in terms.select(slot(F.col("term")).alias("h")).distinct().toLocalIterator()])
+    return lambda term: F.call_function("shiftright", F.get(bits, F.shiftright(slot(term), 6)), slot(term).bitwiseAND(F.lit(63))).bitwiseAND(F.lit(1)) == 1
+
+
+def disclosing(docs: DataFrame, meetings: DataFrame, scratch: Scratch, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
     """(value, term, share) of the pairs that disclose; equal texts count once.
 
-    docs: digest, text of all documents. Only terms that meet an entity often enough are
-    counted over the corpus; a bit table of fixed size drops the others before the
-    shuffle, and where it fills up it drops fewer.
+    docs: digest, text of all documents; meetings: digest, values, outside (terms), inside
+    (terms that stand in base spans only) of each different text with a base span. Only
+    terms that meet an entity often enough are counted over the corpus; a bit table of
+    fixed size drops the others before the shuffle, and where it fills up it drops fewer.
     """
-    pairs = contexts.groupBy("value", "term").agg(F.count_distinct("digest").alias("both")).where(F.col("both") >= support)
-    pairs = scratch.keep(pairs)
-    slots = FILTER_WORDS * 64
-    slot = F.pmod(F.xxhash64("term"), F.lit(slots)).cast("int")
-    bits = _filter([r["h"] for r in pairs.select(slot.alias("h")).distinct().toLocalIterator()])
-    words = docs.select("digest", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
-    bit = F.call_function("shiftright", F.get(bits, F.shiftright(slot, 6)), slot.bitwiseAND(F.lit(63))).bitwiseAND(F.lit(1)) == 1
-    terms = words.where(bit).join(pairs.select(F.col("term").alias("t_")).distinct(), F.col("term") == F.col("t_"), "left_semi")
-    term_counts = terms.groupBy("term").agg(F.count_distinct("digest").alias("of_term")).withColumnRenamed("term", "t_")
-    entity_counts = contexts.groupBy("value").agg(F.count_distinct("digest").alias("of_entity")).withColumnRenamed("value", "v_")
+    met = meetings.select("outside", F.explode("values").alias("value"))
+    entity_counts = scratch.keep(met.groupBy("value").agg(F.count("*").alias("of_entity")).where(F.col("of_entity") >= support).withColumnRenamed("value", "v_"))
+    often = met.join(entity_counts, F.col("value") == F.col("v_"), "left_semi")
+    pairs = often.select("value", F.explode("outside").alias("term")).groupBy("value", "term").agg(F.count("*").alias("both"))
+    pairs = scratch.keep(pairs.where(F.col("both") >= support))
+    words = docs.select("digest", F.explode(_terms(F.col("text"))).alias("term")).where(_bits(pairs)(F.col("term")))
+    words = words.groupBy("term").agg(F.count_distinct("digest").alias("anywhere"))
+    inside = meetings.select(F.explode("inside").alias("i_")).groupBy("i_").agg(F.count("*").alias("only_inside"))
+    of_term = F.col("anywhere") - F.coalesce("only_inside", F.lit(0))
+    term_counts = words.join(inside, F.col("term") == F.col("i_"), "left").select(F.col("term").alias("t_"), of_term.alias("of_term"))
     n = docs.select("digest").distinct().count()
     joined = pairs.join(entity_counts, F.col("value") == F.col("v_")).join(term_counts, F.col("term") == F.col("t_"))
     information = F.log2(F.lit(float(n)) / F.col("of_entity"))
@@ -170,13 +179,19 @@ def find(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id", scr
     rows = rows.withColumn("digest", F.xxhash64("text"))
     spanned = rows.withColumn("base", base_spans(F.col("text")))
     found = scratch.keep(spanned.select("id", "digest", "base", F.when(F.size("base") > 0, F.col("text")).alias("text")))
-    contexts = scratch.keep(_contexts(found))
-    strong = disclosing(rows, contexts, scratch).select(F.col("value").alias("v_"), F.col("term").alias("t_"))
-    told = contexts.join(strong, (F.col("value") == F.col("v_")) & (F.col("term") == F.col("t_")))
+    each = found.where(F.size("base") > 0).withColumn("outside", _terms(_outside(F.col("text"), F.col("base"))))
+    each = each.select("digest", F.array_distinct(F.transform("base", lambda x: x["value"])).alias("values"), "outside", F.array_except(_terms(F.col("text")), "outside").alias("inside"))
+    meetings = scratch.keep(each.dropDuplicates(["digest"]))
+    strong = scratch.keep(disclosing(rows, meetings, scratch).select("term").distinct())
+    likely = _bits(strong)
+    told = rows.select("id", "digest", F.explode(places(F.col("text"), TERM, "term", lambda m: likely(F.lower(m)))).alias("t"))
+    told = told.select(F.col("id").alias("i_"), F.col("digest").alias("d_"), F.lower("t.match").alias("term"), "t.start", "t.end")
+    told = told.join(strong.withColumnRenamed("term", "t_"), F.col("term") == F.col("t_"), "left_semi")
     term = F.struct(F.lit("term").alias("kind"), F.col("start"), F.col("end"), F.xxhash64("term").alias("value"))
-    told = told.groupBy(F.col("id").alias("i_"), F.col("digest").alias("d_")).agg(F.collect_set(term).cast(SPANS).alias("terms"))
+    told = told.groupBy("i_", "d_").agg(F.collect_set(term).cast(SPANS).alias("terms"))
     both = found.drop("text").join(told, F.col("id").eqNullSafe(F.col("i_")) & (F.col("digest") == F.col("d_")), "left")
-    spans = ordered(F.concat("base", F.coalesce("terms", F.array().cast(SPANS))))
+    clear = F.filter("terms", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+    spans = ordered(F.concat("base", F.coalesce(clear, F.array().cast(SPANS))))
     return both.select(F.col("id").alias(id_col), "digest", "base", spans.alias("spans"))
 
 

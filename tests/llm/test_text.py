@@ -146,6 +146,18 @@ def test_terms_that_disclose(spark):
     assert "bob@" not in clean[0] and "[TERM]" in clean[0] and clean[10] == values[10]
 
 
+def test_terms_far_from_their_entity(spark):
+    far = " ".join(f"{i}" for i in range(100))
+    values = [f"zanzibarian {far} {i} write to bob@corp.example now, zanzibarian" for i in range(6)] + ["a Zanzibarian alone"] + [f"now write to {far} {i}" for i in range(300)]
+    found = {r.doc_id: r for r in pii.find(texts(spark, values)).collect()}
+    for i in range(7):
+        terms = [values[i][s["start"] : s["end"]].lower() for s in found[i].spans if s["kind"] == "term"]
+        assert terms == ["zanzibarian"] * (1 if i == 6 else 2), (i, terms)
+    assert not any(found[i].spans for i in range(7, 307))
+    clean = [r.text for r in pii.sanitise(texts(spark, values)).collect()]
+    assert not any("zanzibarian" in x.lower() for x in clean)
+
+
 # --- chat
 
 
