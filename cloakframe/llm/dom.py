@@ -10,6 +10,8 @@ from dataclasses import dataclass, field
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template svg math object".split())
 HIDDEN = frozenset("head script style title noscript template svg math iframe object textarea select option button datalist canvas audio video map noembed noframes xmp".split())
+#: Elements that a slash before the closing bracket ends.
+FOREIGN = frozenset(("svg", "math"))
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table caption tbody td tfoot th thead tr ul".split()
@@ -31,7 +33,9 @@ CLOSES = {
 #: Attribute by which training pages tell the article's pieces.
 MARK = " data-main-piece"
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?>[^>"']|"[^"]*"|'[^']*')*)>|</?[A-Za-z][^>]*(?:>|\Z)""", re.S)
-_ATTR = re.compile(r"""(class|id|role|itemprop|aria-label|href|style|hidden|type)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+#: A slash that belongs to an unquoted value.
+_ENDS_IN_VALUE = re.compile(r"""=\s*[^\s"'>]*/\Z""")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
@@ -119,7 +123,7 @@ def parse(source: str) -> Page:
                 unseen = True
         nodes[parent].children += 1
         nodes.append(Node(tag, parent, nodes[parent].depth + 1, tuple(words), unseen, mark=MARK in m[3]))
-        if tag in VOID:
+        if tag in VOID or tag in FOREIGN and m[3].endswith("/") and not _ENDS_IN_VALUE.search(m[3]):
             nodes[-1].end = len(nodes)
             continue
         if tag in RAW:

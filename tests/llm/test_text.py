@@ -61,6 +61,16 @@ def test_odd_pages(spark, model):
     assert extract.extract(df.limit(0), model=model).count() == 0
 
 
+def test_hidden_is_an_attribute_of_its_own():
+    said = lambda source: "".join(t for _, _, t in parse(source).texts)
+    for attribute in ('aria-hidden="false"', 'data-sidebar="hidden"', 'title="Hidden gems"', "data-style='display:none'", "title=hidden"):
+        assert said(f"<body {attribute}><p>kept</p></body>") == "kept", attribute
+    for attribute in ("hidden", 'HIDDEN=""', 'class="a"hidden', 'title="x" hidden', 'style="display: none"'):
+        assert said(f"<body><p {attribute}>gone</p>kept</body>") == "kept", attribute
+    assert said('<p><svg viewBox="0 0 1 1"/>kept</p><math />too') == "kepttoo"
+    assert said("<p><svg a=b/><path>x</svg>kept</p><script src='x'/>no</script>too") == "kepttoo"
+
+
 # --- fingerprints
 
 
