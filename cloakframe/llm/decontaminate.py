@@ -5,6 +5,8 @@ typed placeholders. Windows of the templates are hash-joined with those of the
 benchmark; where a document covers enough of an item, the slots behind the
 placeholders must be filled consistently: one value of the item, one of the document.
 So a question with other numbers is caught, and a chance likeness of forms is not.
+Windows equal word for word count in any case; those that are mostly placeholders count
+only so, as their form alone tells nothing.
 """
 
 from __future__ import annotations
@@ -21,7 +23,8 @@ from pyspark.sql import functions as F
 from .textscan import mix64, pieces, shingles, span_hashes, word_spans
 
 #: Words of a window; share of an item's windows that a document must cover; share of
-#: a window's words that must not be placeholders; items of fewer words are left out.
+#: a window's words that must not be placeholders, else it is joined by its very words;
+#: items of fewer words are left out.
 WIDTH, COVERAGE, LITERAL, LEAST_WORDS = 8, 0.5, 0.5, 5
 #: Bits of the filter of benchmark windows that every task gets: a fixed size.
 FILTER_BITS = 22
@@ -99,8 +102,8 @@ def template(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def _windows(data: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of every window of ``width`` words with enough literals: (text, position, hash, slots),
-    and each text's number of words."""
+    """Of every window of ``width`` words: (text, position, hash, slots), and each text's
+    number of words. The hash is the template's, or the words' where literals are too few."""
     word, slot, first = template(data, at)
     count = np.diff(first)
     h, offsets = shingles(word, first, width)
@@ -109,7 +112,9 @@ def _windows(data: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray,
     pos = np.arange(len(h)) - offsets[:-1][text]
     literal = np.concatenate(([0], np.cumsum(slot == 0)))
     begin = first[:-1][text] + pos
-    ok = (count[text] >= width) & (literal[np.minimum(begin + width, len(slot))] - literal[begin] >= LITERAL * width)
+    exact, _ = shingles(np.where(slot == 0, word, slot), first, width)
+    h = np.where(literal[np.minimum(begin + width, len(slot))] - literal[begin] >= LITERAL * width, h, mix64(exact))
+    ok = count[text] >= width
     text, pos, h, begin = text[ok], pos[ok], h[ok], begin[ok]
     h = mix64(h + _U(width))
     slots = slot[begin[:, None] + np.arange(width)] if len(h) < 1 << 14 else None
@@ -167,12 +172,15 @@ def _piece_hits(data: np.ndarray, at: np.ndarray, widths: tuple[int, ...] | None
 
 def _judge(coverage: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Rows of one document row and item: matched windows on consistent diagonals."""
+        """Rows of one document row and item: windows equal word for word, and those on
+        diagonals whose slots are filled consistently."""
         got, changed = set(), set()
         for _, d in pdf.groupby(pdf["pos"] - pdf["ipos"]):
             fill: dict[int, int] = {}
             ok, other = True, set()
-            for mine, theirs in zip(d["slots"], d["islots"], strict=True):
+            for mine, theirs, ipos in zip(d["slots"], d["islots"], d["ipos"], strict=True):
+                if mine == theirs:
+                    got.add(ipos)
                 a, b = np.frombuffer(mine, np.uint64), np.frombuffer(theirs, np.uint64)
                 for x, y in zip(a.tolist(), b.tolist(), strict=True):
                     if x or y:

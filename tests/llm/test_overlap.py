@@ -154,6 +154,17 @@ def test_templates(spark):
     assert decontaminate.leaks(df, bench.limit(0)).count() == 0 and decontaminate.leaks(df.limit(0), bench).count() == 0
 
 
+def test_templates_of_mostly_placeholders(spark):
+    numbers = "Add 12 and 7 to 31, then 45, 9, 18, 22, 6, 14, 3 and 8"
+    story = "the first of the boxes in that old room weighs 5 kg and the second of the boxes also weighs 5 kg in all"
+    bench = spark.createDataFrame([(1, numbers), (2, story)], "item_id bigint, text string")
+    other = "Add 1 and 2 to 3, then 4, 5, 16, 27, 38, 49, 50 and 61"
+    rows = [(1, f"see here: {numbers} indeed"), (2, other), (3, story.replace("also weighs 5", "also weighs 6")), (4, f"{story} so")]
+    got = {(r.doc_id, r.item_id): (r.matched, r.windows) for r in decontaminate.leaks(spark.createDataFrame(rows, "doc_id bigint, text string"), bench).collect()}
+    assert set(got) == {(1, 1), (3, 2), (4, 2)}
+    assert got[1, 1][0] == got[1, 1][1] and got[4, 2][0] == got[4, 2][1] and got[3, 2][0] < got[3, 2][1]
+
+
 def test_pipeline(spark, small):
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert len(names) == 5
