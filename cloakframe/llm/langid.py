@@ -25,6 +25,9 @@ UNKNOWN = "und"
 DICT_BYTES = 96 * 1024
 SAMPLE_CHARS = 600
 SAMPLE_TEXTS = 600
+#: A dictionary under this share of the longest does not set the common length: a rare
+#: label has a shorter one than the others, and leaves them theirs.
+LEAST_SHARE = 0.25
 #: Languages at most: the model goes to every executor.
 MAX_LANGS = 256
 PIECE_BYTES = 1024
@@ -84,7 +87,8 @@ def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
     for x in langs:
         distinct = list(dict.fromkeys(texts[x]))
         dicts.append(b" ".join(distinct)[:DICT_BYTES])
-    least = min(map(len, dicts), default=0)  # equal chances for all languages
+    enough = LEAST_SHARE * max(map(len, dicts), default=0)
+    least = min((len(d) for d in dicts if len(d) >= enough), default=0)  # equal chances for all languages
     return Model(tuple(langs), tuple(d[: max(least, 1024)] for d in dicts))
 
 

@@ -1,5 +1,6 @@
 """Sharding, mixing and language identification."""
 
+import random
 import zlib
 
 import pytest
@@ -113,3 +114,14 @@ def test_language_of_empty_tables_and_clashes(spark):
     d = docs(spark, [(1, "the house", "en", "s")]).withColumn("score", F.lit("x")).withColumn("judged", F.lit(1))
     r = langid.predict(d, langid.Model(("en",), (b"the house " * 200,))).first()
     assert r.lang_pred == "en" and r.score == 1.0 and r.judged == 1
+
+
+def test_rare_label_leaves_other_dictionaries_whole(spark):
+    r = random.Random(4)
+    letters = {"aa": "abcdefgh", "bb": "mnopqrst"}
+    rows = [(i, " ".join("".join(r.choices(letters[x], k=6)) for _ in range(30)), x) for i, x in enumerate(["aa", "bb"] * 60)]
+    schema = "doc_id bigint, text string, lang string"
+    plain = langid.fit(spark.createDataFrame(rows, schema))
+    rare = langid.fit(spark.createDataFrame([*rows, (999, "xyz", "zz")], schema))
+    assert min(map(len, plain.dicts)) > 4096
+    assert dict(zip(rare.langs, rare.dicts, strict=True)) == dict(zip(plain.langs, plain.dicts, strict=True)) | {"zz": b"xyz"}
