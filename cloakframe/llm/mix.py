@@ -4,7 +4,8 @@ Every source gets a word target. A document's expected copies are its source's
 scale times its own importance, at most MAX_COPIES; the whole part is taken for
 certain, and the fraction is an inclusion probability. Documents are then ranked by
 random odds over inclusion odds and taken in that order until the source's words
-are reached. Nothing is sorted: the rank's cut is found by two histogram passes.
+are reached. Nothing is sorted: the rank's cut is found by two histogram passes. Rows
+equal in source, id and text are counted and numbered, and each number draws for itself.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD, Scratch, unit_hash
+from .common import WORD, Scratch, free_name, row_digest, unit_hash
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -21,6 +22,8 @@ MAX_COPIES = 2
 BINS = 4096
 #: Importance of a document: 1 + min(log2(1 + words), CLASSES) / CLASSES, by whole classes.
 CLASSES = 16
+#: Repeated rows that one element of an array stands for.
+RUN = 1 << 16
 
 
 def _targets(sources: DataFrame, weights: tuple[int, ...], share: float, cap: float) -> DataFrame:
@@ -67,7 +70,7 @@ def mix(
     share: float = SHARE,
     max_copies: int = MAX_COPIES,
     seed: int = 20,
-    keep: tuple[str, ...] = (),
+    keys: tuple[str, ...] = (),
     scratch: Scratch | None = None,
 ) -> DataFrame:
     """How much of each document a mix takes.
@@ -76,11 +79,13 @@ def mix(
     null last, have ``weights`` in turn; they share ``share`` x all words; no target is
     above ``max_copies`` x its source, the excess goes to the others by weight.
 
-    Returns id, size, source_size, target, taken (words, repeats counted), copies and
-    the columns of ``keep``. Empty and null texts have size 0 and are taken once at
-    most; equal rows tie and are ranked by a row number of the scan; a source of size
-    0 has target 0; an empty table gives an empty result. Draws are hashes of id, text
-    digest and seed, so reruns agree.
+    Returns id, size, source_size, target, taken (words, repeats counted), copies and the
+    columns ``keys`` (rows that differ in them are not repeats of each other). Empty and
+    null texts have size 0 and are taken once at most; rows equal in source, id and text
+    are numbered and draw apart, so that a source of one repeated row is cut like any
+    other; null ids and sources are values like others; a source of size 0 has target 0;
+    an empty table gives an empty result; other columns do not matter. Draws are hashes of
+    id, text digest, number and seed, so reruns agree.
     """
     scratch = scratch or Scratch(docs.sparkSession, "mix")
     cap = float(max_copies)
@@ -90,8 +95,13 @@ def mix(
         F.col(f"`{source_col}`").alias("src"),
         size.alias("size"),
         F.xxhash64(F.col(f"`{text_col}`")).alias("digest"),
-        *[F.col(f"`{c}`").alias(f"keep_{i}") for i, c in enumerate(keep)],
+        *[F.col(f"`{c}`").alias(f"key_{i}") for i, c in enumerate(keys)],
     )
+    equal = base.groupBy(*base.columns).agg(F.count("*").alias("m"))
+    # numbers 0 .. m - 1, in runs that no array is longer than
+    equal = equal.withColumn("run", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("m") - 1) / F.lit(RUN)))))
+    last = F.least(F.lit(RUN).cast("bigint"), F.col("m") - F.col("run") * RUN) - 1
+    base = equal.withColumn("k", F.explode(F.sequence(F.lit(0).cast("bigint"), last))).withColumn("k", F.col("run") * RUN + F.col("k")).drop("m", "run")
     base = scratch.keep(base.withColumn("class", F.least(F.floor(F.log2(F.col("size") + F.lit(1.0))), F.lit(CLASSES)).cast("int")))
     classes = base.groupBy("src", "class").agg(F.sum("size").alias("w"))
     sources = classes.groupBy("src").agg(F.sum("w").alias("words"))
@@ -107,7 +117,7 @@ def mix(
         .withColumn("due", F.sum(F.col("odds") * F.col("w")).over(W.partitionBy("src")))
         .select(F.col("src").alias("s_"), F.col("class").alias("c_"), F.col("words").alias("source_size"), "target", "certain", "odds", "due")
     )
-    u = unit_hash("id", "digest", seed=seed)
+    u = unit_hash("id", "digest", "k", seed=seed)
     # odds over odds, mapped to (0, 1): monotone, so the order is the Pareto order
     p = F.col("odds")
     rank = (u * (1 - p)) / (u * (1 - p) + (1 - u) * p)
@@ -116,7 +126,8 @@ def mix(
         .drop("s_", "c_")
         .withColumn("rank", F.when(p > 0, rank).otherwise(F.lit(2.0)))
     )
-    ranked = scratch.keep(ranked)
+    held, ranked = base, scratch.keep(ranked)
+    scratch.drop(held)
     cut = _rank_cuts(ranked)
     joined = ranked.join(cut, F.col("src").eqNullSafe(F.col("cut_src")), "left")
     extra = F.when((F.col("rank") < F.coalesce("cut", F.lit(0.0))) & (F.col("size") > 0), 1).otherwise(0)
@@ -128,7 +139,7 @@ def mix(
         F.col("target").cast("double").alias("target"),
         (copies * F.col("size")).cast("bigint").alias("taken"),
         copies.alias("copies"),
-        *[F.col(f"keep_{i}").alias(c) for i, c in enumerate(keep)],
+        *[F.col(f"key_{i}").alias(c) for i, c in enumerate(keys)],
     )
 
 
@@ -168,6 +179,9 @@ def _narrow(rows: DataFrame, span: DataFrame, width: float) -> DataFrame:
     )
 
 
-def apply_copies(docs: DataFrame, taken: DataFrame, copies_col: str) -> DataFrame:
-    """``taken``'s rows repeated ``copies_col`` times; the column goes."""
-    return taken.where(F.col(copies_col) > 0).withColumn("_i", F.explode(F.sequence(F.lit(1), F.col(copies_col)))).select(*docs.columns)
+def times(docs: DataFrame, **options) -> DataFrame:
+    """w1, w2, times: how often the mix takes the rows of ``docs`` that have this digest."""
+    w1, w2 = row_digest(docs)
+    a, b = free_name(docs, "w1"), free_name(docs, "w2")
+    taken = mix(docs.withColumns({a: w1, b: w2}), keys=(a, b), **options)
+    return taken.groupBy(F.col(a).alias("w1"), F.col(b).alias("w2")).agg(F.sum("copies").alias("times")).where("times > 0")
