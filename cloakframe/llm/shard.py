@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch, free_name
+from .common import Scratch, free_name, row_digest, whole_rows
 
 #: Of a dimension's value, of the tie-break behind it, and bits resolved by one pass.
 VALUE_BITS, TIE_BITS, FIRST_BITS, BITS = 14, 26, 10, 14
@@ -88,7 +88,54 @@ def _finish(rows: DataFrame, node: Column, key: Column, weight: Column, cuts: di
             c.narrow(bins[n], width[n], slack)
 
 
-def kd_shards(
+def _ordered_value(col: Column, low: str, high: str) -> Column:
+    """A string's place between ``low`` and ``high``, the least and the greatest, as a whole
+    number below _TOP that follows byte order: the six bytes after what the two share."""
+    a, b = low.encode(), high.encode()
+    lead = next((i for i in range(min(len(a), len(b))) if a[i] != b[i]), min(len(a), len(b)))
+
+    def number(x: bytes) -> int:
+        return int.from_bytes(x[lead : lead + 6].ljust(6, b"\0"), "big")
+
+    hexed = F.rpad(F.hex(F.substring(F.coalesce(col, F.lit("")).cast("binary"), lead + 1, 6)), 12, "0")
+    first, span = number(a), max(1, number(b) - number(a))
+    return F.least(F.lit(_TOP - 1), F.greatest(F.lit(0), F.floor((F.conv(hexed, 16, 10).cast("double") - F.lit(float(first))) * F.lit((_TOP - 1) / span)))).cast("bigint")
+
+
+def _dimensions(docs: DataFrame, names: tuple[str, ...], size: Column) -> tuple[list[Column], int]:
+    """Each dimension spread over 0 .. _TOP - 1, and their number; the last is the size, on a
+    log scale. A column of one value has no width."""
+    cols = {d: F.col(f"`{d}`").cast("string") for d in names if d in docs.columns}
+    ends = [f(F.coalesce(c, F.lit(""))).alias(f"{n}{i}") for i, c in enumerate(cols.values()) for n, f in (("low", F.min), ("high", F.max))]
+    ends += [F.min(size).alias("least"), F.max(size).alias("most")]
+    got = docs.agg(*ends).first()
+    dims = [_ordered_value(c, got[f"low{i}"] or "", got[f"high{i}"] or "") for i, c in enumerate(cols.values())]
+    low, high = math.log2(got["least"] or 1), math.log2(got["most"] or 1)
+    dims.append(F.least(F.lit(_TOP - 1), F.floor((F.log2(size.cast("double")) - F.lit(low)) * F.lit((_TOP - 1) / max(1e-9, high - low)))).cast("bigint"))
+    return [x.alias(f"d{i}") for i, x in enumerate(dims)], len(dims)
+
+
+def kd_shards(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
+    """Deal ``docs`` into shards of near equal bytes by a K-d tree over metadata.
+
+    Dimensions: each of ``dimensions`` that is present, in byte order, and the size on a
+    log scale, each spread over its own extent; within one value, rows are ordered by the
+    hash of their text. All of a group of equal texts have the point of the first row, so
+    the group is one point and is divided (by hash of the id) only where a cut falls in a
+    group too large for the tolerance. Give ``n_shards`` or ``target_bytes`` (then
+    ceil(total / target) shards).
+
+    Returns id, size (UTF-8 bytes + 8; null text: 8), text_crc32 (0 for null), law
+    ('bytes'), shard, slot (0 .. n-1 in each shard) and grown_shard (null). Null and
+    empty texts have size 8; a null dimension counts as empty; equal rows are dealt as
+    separate rows; an empty table gives an empty result; columns beside those named are
+    ignored.
+    """
+    placed, rows, leaves = _placed(docs, id_col=id_col, **options)
+    return number_slots(placed, rows, leaves, id_col)
+
+
+def _placed(
     docs: DataFrame,
     *,
     text_col: str = "text",
@@ -96,46 +143,36 @@ def kd_shards(
     dimensions: tuple[str, ...] = ("lang", "source"),
     n_shards: int | None = None,
     target_bytes: int | None = None,
+    keys: tuple[str, ...] = (),
     scratch: Scratch | None = None,
-) -> DataFrame:
-    """Deal ``docs`` into shards of near equal bytes by a K-d tree over metadata.
-
-    Dimensions: the hash of each of ``dimensions`` that is present, the size on a log
-    scale and the hash of the text; all of a group of equal texts are those of its
-    first row, so the group is one point and is divided (by hash of the id) only where
-    a cut falls in a group too large for the tolerance. Give ``n_shards`` or
-    ``target_bytes`` (then ceil(total / target) shards).
-
-    Returns id, size (UTF-8 bytes + 8; null text: 8), text_crc32 (0 for null), law
-    ('bytes'), shard, slot (0 .. n-1 in each shard) and grown_shard (null). Null and
-    empty texts have size 8; equal rows are dealt as separate rows; an empty table
-    gives an empty result; columns beside those named are ignored.
-    """
+) -> tuple[DataFrame, int, int]:
+    """(id, size, crc, shard, row, keys of every row; rows; shards)."""
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark, "shard")
     text = F.col(f"`{text_col}`")
-    dims = [F.pmod(F.xxhash64(F.lit(d), F.coalesce(F.col(f"`{d}`").cast("string"), F.lit("\0"))), F.lit(_TOP)).alias(f"d{i}") for i, d in enumerate(dimensions) if d in docs.columns]
-    n_dims = len(dims) + 2
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint") + SIZE_OVERHEAD
+    dims, n_dims = _dimensions(docs, dimensions, size)
+    g1, g2 = F.xxhash64(text), F.xxhash64(F.lit("text"), text)
     meta = docs.select(
         F.col(f"`{id_col}`").alias("id"),
         size.alias("size"),
         F.coalesce(F.crc32(text), F.lit(0)).cast("bigint").alias("crc"),
-        F.xxhash64(text).alias("group"),
+        g1.alias("g1"),
+        g2.alias("g2"),
+        *[F.col(f"`{c}`").alias(f"key_{i}") for i, c in enumerate(keys)],
         *dims,
     )
-    meta = scratch.keep(
-        meta.withColumn(f"d{len(dims)}", F.least((F.log2(F.col("size").cast("double")) * F.lit(_TOP / 48.0)).cast("bigint"), F.lit(_TOP - 1)))
-        .withColumn(f"d{len(dims) + 1}", F.pmod("group", F.lit(_TOP)))
-        .withColumn("row", F.pmod(F.xxhash64("id", "crc", F.monotonically_increasing_id()), F.lit(1 << 40)))
-    )
-    # one point for a group: that of its least (id, dimensions)
-    point = F.min(F.struct(F.col("id").isNull(), F.col("id"), *[F.col(f"d{i}") for i in range(len(dims))]))
-    heads = meta.groupBy("group").agg(F.count("*").alias("m"), point.alias("p")).where("m > 1").select(F.col("group").alias("g"), *[F.col(f"p.d{i}").alias(f"p{i}") for i in range(len(dims))])
-    if dims:
-        held = [c for c in meta.columns if c not in {f"d{i}" for i in range(len(dims))}]
-        meta = scratch.keep(meta.join(heads, F.col("group") == F.col("g"), "left").select(*held, *[F.coalesce(f"p{i}", f"d{i}").alias(f"d{i}") for i in range(len(dims))]))
-    tie = F.pmod(F.xxhash64("group", F.lit(1)), F.lit(_TIE))
+    meta = scratch.keep(meta.withColumn("row", F.pmod(F.xxhash64("id", "crc", F.monotonically_increasing_id()), F.lit(1 << 40))))
+    # one point for a group: that of its least (id, dimensions); sizes of equal texts are equal
+    d = [f"d{i}" for i in range(n_dims)]
+    point = F.min(F.struct(F.col("id").isNull(), F.col("id"), *d))
+    heads = meta.groupBy("g1", "g2").agg(F.count("*").alias("m"), point.alias("p")).where("m > 1")
+    heads = scratch.keep(heads.select(F.col("g1").alias("h1"), F.col("g2").alias("h2"), *[F.col(f"p.{x}").alias(f"p_{x}") for x in d]))
+    held = [c for c in meta.columns if c not in d]
+    flat = meta.join(heads, (F.col("g1") == F.col("h1")) & (F.col("g2") == F.col("h2")), "left")
+    before, meta = meta, scratch.keep(flat.select(*held, *[F.coalesce(f"p_{x}", x).alias(x) for x in d]))
+    scratch.drop(before, heads)
+    tie = F.pmod(F.xxhash64("g1", F.lit(1)), F.lit(_TIE))
 
     totals = meta.agg(F.sum("size").alias("b"), F.count("*").alias("n")).first()
     total, rows = totals["b"] or 0, totals["n"]
@@ -195,8 +232,8 @@ def kd_shards(
         scratch.drop(done)
         node, nodes = F.col("node"), nexts
     shard = _of_node([nodes.get(n, (0, 1, 0))[0] for n in range(max(nodes) + 1)], node, "int")
-    placed = meta.select("id", "size", "crc", shard.alias("shard"), "row")
-    return number_slots(placed, rows, leaves, id_col)
+    placed = meta.select("id", "size", "crc", shard.alias("shard"), "row", *[F.col(f"key_{i}").alias(c) for i, c in enumerate(keys)])
+    return placed, rows, leaves
 
 
 def number_slots(placed: DataFrame, rows: int, leaves: int, id_col: str) -> DataFrame:
@@ -224,8 +261,7 @@ def number_slots(placed: DataFrame, rows: int, leaves: int, id_col: str) -> Data
 
 def with_shards(docs: DataFrame, **options) -> DataFrame:
     """All columns of ``docs`` and the shard of each row, named so that it clashes with none."""
-    named = free_name(docs, "shard")
-    key = free_name(docs, "shard_row")
-    keyed = Scratch(docs.sparkSession, "shard-in").keep(docs.withColumn(key, F.monotonically_increasing_id()))
-    placed = kd_shards(keyed, id_col=key, **options).select(F.col(key).alias("k_"), F.col("shard").alias("s_"))
-    return keyed.join(placed, F.col(key) == F.col("k_")).drop("k_", key).withColumnRenamed("s_", named)
+    w1, w2 = row_digest(docs)
+    a, b = free_name(docs, "w1"), free_name(docs, "w2")
+    placed, _, _ = _placed(docs.withColumns({a: w1, b: w2}), keys=(a, b), **options)
+    return whole_rows(docs, placed.groupBy(F.col(a).alias("w1"), F.col(b).alias("w2"), "shard").agg(F.count("*").alias("times")))
