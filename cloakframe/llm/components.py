@@ -28,7 +28,7 @@ def _small_star(e: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame, scratch: Scratch, rounds: int = 60) -> DataFrame:
-    """links (a, b: long) -> (node, root): root is the least node of node's component.
+    """links (a, b: long) -> a kept table (node, root): root is the least node of node's component.
 
     Nodes of no link are not in the result; links to oneself and repeated ones do not
     matter; an empty table gives an empty one.
@@ -44,4 +44,6 @@ def components(links: DataFrame, scratch: Scratch, rounds: int = 60) -> DataFram
         scratch.drop(done)
     else:
         raise RuntimeError("components did not settle")
-    return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
+    out = scratch.keep(e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct())
+    scratch.drop(e)
+    return out
