@@ -20,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import Scratch, free_name
 from .textscan import mix64, pieces, shingles, span_hashes, word_spans
 
 #: Words of a window; share of an item's windows that a document must cover; share of
@@ -66,14 +67,12 @@ def template(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     start, end, first = word_spans(data, at)
     if not len(start):
         return np.zeros(0, _U), np.zeros(0, _U), np.zeros(len(at), np.int64)
-    s, e = start.copy(), end.copy()
-    for _ in range(8):
-        tail = (e > s) & _PUNCT[data[e - 1]]
-        head = (e - tail > s) & _PUNCT[data[s]]
-        if not tail.any() and not head.any():
-            break
-        e -= tail
-        s += head
+    base = int(at[0])
+    solid = np.flatnonzero(~_PUNCT[data[base : int(at[-1])]]) + base  # white space too, which no word holds
+    after, before = np.searchsorted(solid, start), np.searchsorted(solid, end)
+    s, e = start.copy(), start.copy()
+    some = before > after  # a word of punctuation only has nothing left
+    s[some], e[some] = solid[after[some]], solid[before[some] - 1] + 1
     keep = e > s
     low = int(at[0])
     lines = np.concatenate(([0], np.cumsum(data[low : int(at[-1])] == 10)))
@@ -229,5 +228,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", id_c
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents that leaks() names (all rows of such an id)."""
     id_col = options.get("id_col", "doc_id")
-    named = leaks(docs, benchmark, **options).select(F.col("doc_id").alias("leak_id_")).distinct()
-    return docs.join(named, F.col(f"`{id_col}`").eqNullSafe(F.col("leak_id_")), "left_anti")
+    # written first: its size is then known, and a small table is sent to the documents
+    named = Scratch(docs.sparkSession, "leaks").keep(leaks(docs, benchmark, **options).select(F.col("doc_id").alias("leak_id_")).distinct())
+    named = named.withColumnRenamed("leak_id_", free_name(docs, "leak_id_"))
+    return docs.join(named, F.col(f"`{id_col}`").eqNullSafe(F.col(named.columns[0])), "left_anti")
