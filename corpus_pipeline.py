@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cloakframe.llm import decontaminate, langid, mix, ngramjoin, shard
-from cloakframe.llm.common import Scratch
+from cloakframe.llm.common import Scratch, whole_rows
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 N_SHARDS = 24
@@ -23,18 +23,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that links join: the one with the least id.
+    """One document of each group that links join: the one with the least id, null ids last.
 
-    Of repeated rows of one id one stays; documents without words all stay.
+    Of repeated rows one stays; documents without words all stay.
     """
-    groups = Scratch(spark, "groups").keep(ngramjoin.join_components(docs))
-    own = groups.where("doc_id = component_id or component_id is null").groupBy(F.col("doc_id").alias("k_")).agg(F.count("*").alias("m_"))
-    alone, repeated = own.where("m_ = 1"), own.where("m_ > 1")
-
-    def kept(ids: DataFrame) -> DataFrame:
-        return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("k_")), "left_semi")
-
-    return kept(alone).unionByName(kept(repeated).dropDuplicates(["doc_id", "text"]))
+    work, ids = Scratch(spark, "ngramjoin"), Scratch(spark, "stays")
+    stays = ids.keep(ngramjoin.one_of_each(docs, scratch=work))
+    work.close()
+    return whole_rows(docs, stays)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,8 +40,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    taken = mix.mix(docs, keep=("text", "lang", "source", "n_chars"))
-    return mix.apply_copies(docs, taken, "copies")
+    work, ids = Scratch(spark, "mix"), Scratch(spark, "taken")
+    taken = ids.keep(mix.times(docs, scratch=work))
+    work.close()
+    return whole_rows(docs, taken)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,6 +66,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*COLUMNS)
     scratch = Scratch(spark, "pipeline")
+    before = None
     for _, stage in STAGES[:-1]:
         docs = scratch.keep(stage(spark, docs, sf_dir))
+        if before is not None:
+            scratch.drop(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
