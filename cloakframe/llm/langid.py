@@ -9,12 +9,15 @@ every piece meets the dictionary and not only the text's own past.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import free_name
@@ -25,17 +28,14 @@ UNKNOWN = "und"
 DICT_BYTES = 96 * 1024
 SAMPLE_CHARS = 600
 SAMPLE_TEXTS = 600
-#: A dictionary under this share of the longest does not set the common length: a rare
-#: label has a shorter one than the others, and leaves them theirs.
-LEAST_SHARE = 0.25
-#: Languages at most: the model goes to every executor.
+#: Languages that are learned, those of most texts: the model goes to every executor.
 MAX_LANGS = 256
 PIECE_BYTES = 1024
 LEVEL = 6
-#: Score (relative saving of the best over the second) under which a text is rejected.
-MIN_MARGIN = 0.01
-#: Bytes of distinct words under which no margin is asked: too little to weigh.
-LEAST_BYTES = 64
+#: Score (relative saving of the best over the second) under which a text is rejected; of
+#: n bytes of distinct words, n / (n + SHORT) of it is asked, as little text weighs in
+#: whole bytes. A tie is rejected at any length.
+MIN_MARGIN, SHORT = 0.01, 64
 FOLDS, HELD_OUT = 5, 0
 
 
@@ -50,46 +50,50 @@ def fold(id_: Column) -> Column:
     return F.crc32(F.coalesce(id_.cast("string"), F.lit("")).cast("binary")) % FOLDS
 
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+_WORD_CHARS = re.compile(r"[^\W\d_]+")
+
+
+@cache
+def _other_numbers() -> dict[int, str]:
+    """Characters that count as word characters but are no letters (Unicode category L)."""
+    return {n: " " for n in range(sys.maxunicode + 1) if chr(n).isalnum() and not chr(n).isalpha() and not chr(n).isdecimal()}
+
+
+def _letters(text: str) -> list[str]:
+    """Runs of letters."""
+    if not text.isascii() and not _other_numbers().keys().isdisjoint(map(ord, set(text))):
+        text = text.translate(_other_numbers())
+    return _WORD_CHARS.findall(text)
 
 
 def plain(text: str) -> bytes:
     """What is compressed: the runs of letters in lower case, each different one once."""
-    return " ".join(dict.fromkeys(_LETTERS.findall(text.lower()))).encode("utf-8", "surrogatepass")
+    return " ".join(dict.fromkeys(_letters(text.lower()))).encode("utf-8", "surrogatepass")
 
 
 def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample_texts: int = SAMPLE_TEXTS) -> Model:
-    """Dictionaries from a bounded sample of labelled rows, drawn by a hash of the id.
+    """Dictionaries from a bounded sample of labelled rows, drawn by a hash of id and text.
 
-    Every row can be drawn; SAMPLE_TEXTS texts of each language are asked for, and no
-    more than SAMPLE_CHARS of one are used. Languages are MAX_LANGS at most.
+    Every row can be drawn; of each of the MAX_LANGS languages of most texts, about 1.5 x
+    SAMPLE_TEXTS different ones are, and no more than SAMPLE_CHARS of one are used. Each
+    dictionary has its own length, DICT_BYTES at most, whatever the others have.
     """
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-    sizes = rows.groupBy(F.col(lang_col).alias("l")).agg(F.count("*").alias("m")).limit(MAX_LANGS + 1).collect()
-    if len(sizes) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages to learn")
+    sizes = rows.groupBy(F.col(lang_col).alias("l")).agg(F.count("*").alias("m")).orderBy(F.desc("m"), "l").limit(MAX_LANGS).collect()
     if not sizes:
         return Model((), ())
-    draw = F.pmod(F.xxhash64(F.lit(8), F.col(id_col)), F.lit(1 << 30))
+    draw = F.pmod(F.xxhash64(F.lit(8), F.col(id_col), F.col(text_col)), F.lit(1 << 30))
     wanted = [F.when(F.col(lang_col) == r["l"], draw < int(min(1.0, 1.5 * sample_texts / r["m"]) * (1 << 30))) for r in sizes]
     # each text gives a window from its start; texts of one line give the same
-    picked = (
-        rows.where(F.coalesce(*wanted))
-        .select(F.col(lang_col).alias("l"), F.substring(F.col(text_col), 1, SAMPLE_CHARS).alias("t"), draw.alias("d"))
-        .orderBy("l", "d", "t")
-        .limit(2 * sample_texts * len(sizes))
-    )
+    window = F.substring(F.col(text_col), 1, SAMPLE_CHARS)
+    drawn = rows.where(F.coalesce(*wanted)).groupBy(F.col(lang_col).alias("l"), window.alias("t")).agg(F.min(draw).alias("d"))
+    at = F.row_number().over(W.partitionBy("l").orderBy("d", "t"))
+    picked = drawn.withColumn("at", at).where(F.col("at") <= 2 * sample_texts).orderBy("l", "at")
     texts: dict[str, list[bytes]] = {r["l"]: [] for r in sizes}
-    for r in picked.collect():
+    for r in picked.collect():  # 2 x sample_texts x MAX_LANGS x SAMPLE_CHARS at most
         texts[r["l"]].append(plain(r["t"]))
-    langs = sorted((x for x in texts if texts[x]), key=lambda x: (-{r["l"]: r["m"] for r in sizes}[x], x))
-    dicts = []
-    for x in langs:
-        distinct = list(dict.fromkeys(texts[x]))
-        dicts.append(b" ".join(distinct)[:DICT_BYTES])
-    enough = LEAST_SHARE * max(map(len, dicts), default=0)
-    least = min((len(d) for d in dicts if len(d) >= enough), default=0)  # equal chances for all languages
-    return Model(tuple(langs), tuple(d[: max(least, 1024)] for d in dicts))
+    langs = [x for x in texts if texts[x]]  # most texts first
+    return Model(tuple(langs), tuple(b" ".join(dict.fromkeys(texts[x]))[:DICT_BYTES] for x in langs))
 
 
 class Classifier:
@@ -126,7 +130,7 @@ class Classifier:
             return self.langs[0], 1.0, False
         best, second = costs[order[0]], costs[order[1]]
         score = min(1.0, max(0.0, 1.0 - max(best, 0) / max(second, 1)))
-        return self.langs[order[0]], score, score < MIN_MARGIN and len(data) >= LEAST_BYTES
+        return self.langs[order[0]], score, score < MIN_MARGIN * len(data) / (len(data) + SHORT)
 
 
 _held: dict[int, Classifier] = {}
@@ -144,7 +148,7 @@ def predict(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFra
     """``docs`` with lang_pred, score and rejected.
 
     lang_pred is a learned language, or 'und' for a null text or one without a letter;
-    rejected: 'und', or a score under MIN_MARGIN on LEAST_BYTES or more. Columns of the same names are
+    rejected: 'und', or a score under the margin for its length. Columns of the same names are
     replaced; rows, repeated ones too, stay as they are.
     """
     broadcast = docs.sparkSession.sparkContext.broadcast(model)
