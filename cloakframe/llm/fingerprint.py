@@ -1,16 +1,14 @@
 """Exact digests of canonical text, in SQL expressions only.
 
-Canonical text: lower case, compatibility and composed forms of Unicode, one space for
-any white space. Two independently seeded 64-bit xxhashes group it; rows that meet in
-a bucket are compared byte by byte with the bucket's first row, and one that differs
-gets a fingerprint of its own.
+Canonical text: compatibility decomposition and composition of Unicode (NFKC), full case
+folding, one space for any white space. Two independently seeded 64-bit xxhashes group it;
+different texts that meet in a bucket are compared byte by byte with the bucket's first,
+and one that differs gets a fingerprint of its own.
 """
 
 from __future__ import annotations
 
-import sys
-import unicodedata
-from functools import cache
+import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -18,83 +16,33 @@ from pyspark.sql import functions as F
 
 from .common import Scratch
 
-#: Of next-document blocks: rows in one, and blocks at most of the first level.
+#: Of next-document blocks: rows in one.
 BLOCK_ROWS = 20_000
-FAN = 128
 #: Parts of a bucket that are compared apart.
 SPLITS = 64
 
 
-@cache
-def _tables() -> tuple[str, str, list[tuple[str, str]], list[tuple[str, str]], str, str]:
-    """By rule from Python's Unicode data: single-to-single characters, single-to-many,
-    compositions (base + mark -> one), class of the many, class of the marks."""
-    one_from, one_to, many, pairs, marks = [], [], [], [], []
-    for n in range(0xA0, sys.maxunicode + 1):
-        if 0xD800 <= n <= 0xDFFF or 0xAC00 <= n <= 0xD7A3:
-            continue
-        c = chr(n)
-        to = unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", c).casefold())
-        if to != c and to != c.lower():
-            if len(to) == 1:
-                one_from.append(c)
-                one_to.append(to)
-            else:
-                many.append((c, to))
-        if unicodedata.combining(c):
-            marks.append(n)
-        parts = unicodedata.decomposition(c)
-        if parts and parts[0] != "<" and " " in parts and unicodedata.normalize("NFC", c) == c:
-            a, b = (chr(int(x, 16)) for x in parts.split())
-            if a == a.lower():
-                pairs.append((a + b, c))
-    pairs.sort(key=lambda p: (len(unicodedata.normalize("NFD", p[1])), p))
-    return "".join(one_from), "".join(one_to), many, pairs, _class([ord(c) for c, _ in many]), _class(marks)
-
-
-def _class(points: list[int]) -> str:
-    """A regular expression's class of code points, as ranges."""
-    runs: list[list[int]] = []
-    for n in sorted(points):
-        if runs and n == runs[-1][1] + 1:
-            runs[-1][1] = n
-        else:
-            runs.append([n, n])
-    return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" if a < b else f"\\x{{{a:X}}}" for a, b in runs) + "]"
-
-
-def _replace_all(text: Column, pairs: list[tuple[str, str]]) -> Column:
-    """Every pair's first string replaced by its second, in turn; the table is one literal."""
-    table = F.split(F.lit("\2".join(f"{a}\1{b}" for a, b in pairs)), "\2")
-    return F.aggregate(table, text, lambda t, p: F.replace(t, F.substring_index(p, "\1", 1), F.substring_index(p, "\1", -1)))
-
-
-#: Characters that lower case alone brings to canonical form: most of Latin text.
-PLAIN = r"[^\x00-\x9F\xA1-\xA7\xA9\xAB\xAC\xAE\xB0\xB1\xB6\xB7\xBB\xBF-ıĴ-ľŁ-ňŊ-žƀ-ǃǍ-ǰǴ-ɏ–—‘-‟€]"
+def _unicode(kind: str, method: str, text: Column, flag: bool) -> Column:
+    """A static method of the Unicode library that Spark itself brings for its collations."""
+    return F.call_function("reflect", F.lit(f"com.ibm.icu.{kind}"), F.lit(method), text, F.lit(flag))
 
 
-def canonical(text: Column) -> Column:
-    """Canonical text; null as empty. Texts of plain Latin letters take the short path."""
-    one_from, one_to, many, pairs, many_class, mark_class = _tables()
-    low = F.lower(F.coalesce(text, F.lit("")))
+def folded(text: Column) -> Column:
+    """NFKC of the full case folding; canonically equivalent texts give the same."""
+    def fold(t: Column) -> Column:
+        return _unicode("lang.UCharacter", "foldCase", t, True)
 
-    def unusual(t: Column) -> Column:
-        t = F.translate(t, one_from, one_to)
-        t = F.when(t.rlike(many_class), _replace_all(t, many)).otherwise(t)
-        return F.when(t.rlike(mark_class), _replace_all(_ordered_marks(t), pairs)).otherwise(t)
+    def compose(t: Column) -> Column:
+        return _unicode("text.Normalizer", "compose", t, True)
 
-    out = F.when(low.rlike(PLAIN), unusual(low)).otherwise(low)
-    out = F.replace(out, F.lit("ß"), F.lit("ss"))
-    return F.trim(F.regexp_replace(out, r"[\s\x{85}\p{Z}]+", " "))
+    return compose(fold(compose(fold(_unicode("text.Normalizer", "decompose", text, False)))))
 
 
-def _ordered_marks(t: Column) -> Column:
-    """Marks above (class 230) after those below (220) and attached (202), as canonical order has it."""
-    below = r"[\x{316}-\x{319}\x{31C}-\x{320}\x{323}-\x{326}\x{329}-\x{333}\x{327}\x{328}\x{31B}]"
-    above = r"[\x{300}-\x{314}\x{33D}-\x{344}\x{346}]"
-    for _ in range(3):
-        t = F.regexp_replace(t, f"({above})({below})", "$2$1")
-    return t
+def canonical(text: Column) -> Column:
+    """Canonical text; null as empty. Of ASCII, lower case is all there is to fold."""
+    t = F.coalesce(text, F.lit(""))
+    out = F.when(t.rlike(r"[^\x00-\x7F]"), folded(t)).otherwise(F.lower(t))
+    return F.trim(F.regexp_replace(out, r"[\s\x{85}\p{Z}]+", " "))
 
 
 def wide_hash(text: Column) -> tuple[Column, Column]:
@@ -102,52 +50,62 @@ def wide_hash(text: Column) -> tuple[Column, Column]:
     return F.xxhash64(text), F.xxhash64(F.lit("wide"), text)
 
 
+def raw_hash(text: Column) -> tuple[Column, Column]:
+    """128 bits of the text as it is."""
+    return F.xxhash64(F.lit("raw"), text), F.xxhash64(F.lit("text"), text)
+
+
 def _print(h1: Column, h2: Column) -> Column:
     return F.lower(F.concat(F.lpad(F.hex(h1), 16, "0"), F.lpad(F.hex(h2), 16, "0")))
 
 
 def collisions(docs: DataFrame, keyed: DataFrame, scratch: Scratch) -> DataFrame:
-    """(id, raw, h1, h2, sha) of rows whose canonical bytes are not those of the first row
-    that shares their 128 bits.
-
-    docs: id, text; keyed: id, raw (hash of the text as it is), h1, h2 of the same rows.
-    Only rows of buckets of several bring their texts. They are compared byte by byte
-    with the first of their part of the bucket (by hash of the id, SPLITS parts), the
-    parts' firsts with the bucket's; so no task holds a whole hot bucket. What differs
-    anywhere is compared with the bucket's first itself.
+    """A kept table (r1, r2, sha) of texts whose canonical bytes are not those of the first
+    text that shares their 128 bits.
+
+    docs: id, text; keyed: id, r1, r2 (hashes of the text as it is), h1, h2 of the same
+    rows. Copies of one text count once, so only buckets of several different texts bring
+    any, one row's for each. They are compared byte by byte with the first of their part
+    of the bucket (by hash, SPLITS parts), the parts' firsts with the bucket's; so no task
+    holds a whole hot bucket. What differs anywhere is compared with the bucket's first.
     """
-    several = keyed.groupBy("h1", "h2").agg(F.count("*").alias("m")).where("m > 1").select(F.col("h1").alias("_1"), F.col("h2").alias("_2"))
-    met = keyed.join(several, (F.col("h1") == F.col("_1")) & (F.col("h2") == F.col("_2")))
-    met = met.select(F.col("id").alias("_id"), F.col("raw").alias("_raw"), "h1", "h2").distinct()
-    own = docs.withColumn("raw", F.xxhash64("text"))
-    rows = own.join(met, F.col("id").eqNullSafe(F.col("_id")) & (F.col("raw") == F.col("_raw"))).select("id", "raw", "h1", "h2", "text", F.pmod(F.xxhash64("id"), F.lit(SPLITS)).alias("part"))
+    texts = keyed.groupBy("h1", "h2", "r1", "r2").agg(F.min(F.struct(F.col("id").isNull().alias("n"), "id")).alias("f"))
+    texts = scratch.keep(texts.select("h1", "h2", "r1", "r2", F.col("f.id").alias("_id")))
+    several = texts.groupBy("h1", "h2").agg(F.count("*").alias("m")).where("m > 1").select(F.col("h1").alias("_1"), F.col("h2").alias("_2"))
+    met = scratch.keep(texts.join(several, (F.col("h1") == F.col("_1")) & (F.col("h2") == F.col("_2"))).select("h1", "h2", F.col("r1").alias("_r1"), F.col("r2").alias("_r2"), "_id"))
+    scratch.drop(texts)
+    r1, r2 = raw_hash(F.col("text"))
+    own = docs.withColumn("r1", r1).withColumn("r2", r2)
+    rows = own.join(met, F.col("id").eqNullSafe(F.col("_id")) & (F.col("r1") == F.col("_r1")) & (F.col("r2") == F.col("_r2")))
+    rows = rows.groupBy("h1", "h2", "r1", "r2").agg(F.first("text").alias("text"))
+    rows = scratch.keep(rows.withColumn("part", F.pmod("r1", F.lit(SPLITS))))
 
     def heads_of(t: DataFrame, *by: str) -> DataFrame:
-        first = F.min(F.struct(F.col("id").isNull().alias("n"), "id", "raw", "text"))
-        return t.groupBy("h1", "h2", *by).agg(first.alias("f")).select("h1", "h2", *by, "f.id", "f.raw", "f.text")
+        return t.groupBy("h1", "h2", *by).agg(F.min(F.struct("r1", "r2", "text")).alias("f")).select("h1", "h2", *by, "f.r1", "f.r2", "f.text")
 
     def differing(t: DataFrame, heads: DataFrame, *by: str) -> DataFrame:
         named = heads.select(F.col("text").alias("_text"), *[F.col(c).alias(f"_{c}") for c in ("h1", "h2", *by)])
         both = t.join(named, [F.col(c) == F.col(f"_{c}") for c in ("h1", "h2", *by)]).where("text <> _text")
-        return both.where(canonical(F.col("text")) != canonical(F.col("_text"))).select(*t.columns)
+        both = both.withColumn("same", canonical(F.col("text")) == canonical(F.col("_text"))).where("not same")
+        return both.select(*t.columns)
 
-    parts = heads_of(rows, "part")
+    parts = scratch.keep(heads_of(rows, "part"))
     firsts = scratch.keep(heads_of(parts))
     odd_parts = scratch.keep(differing(parts, firsts).select(F.col("h1").alias("_1"), F.col("h2").alias("_2"), F.col("part").alias("_p")))
     doubtful = scratch.keep(differing(rows, parts, "part"))
-    if doubtful.isEmpty() and odd_parts.isEmpty():
-        return scratch.keep(doubtful.select("id", "raw", "h1", "h2", F.lit("").alias("sha")))
     inside = rows.join(odd_parts, (F.col("h1") == F.col("_1")) & (F.col("h2") == F.col("_2")) & (F.col("part") == F.col("_p"))).select(*rows.columns)
     odd = differing(doubtful.unionByName(inside), firsts)
-    return scratch.keep(odd.select("id", "raw", "h1", "h2", F.sha2(canonical(F.col("text")).cast("binary"), 256).alias("sha")).distinct())
+    out = scratch.keep(odd.select("r1", "r2", F.sha2(canonical(F.col("text")).cast("binary"), 256).alias("sha")).distinct())
+    scratch.drop(met, rows, parts, firsts, odd_parts, doubtful)
+    return out
 
 
-def _marked(rows: DataFrame, odd: DataFrame, id_col: str) -> DataFrame:
-    """rows (with raw, h1, h2) and fingerprint: 32 hex digits, and '-' + SHA-256 for odd ones."""
-    odd = odd.select(F.col("id").alias("_id"), F.col("raw").alias("_raw"), F.col("sha").alias("_sha"))
-    on = F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (F.col("raw") == F.col("_raw"))
+def _marked(rows: DataFrame, odd: DataFrame) -> DataFrame:
+    """rows (with r1, r2, h1, h2) and fingerprint: 32 hex digits, and '-' + SHA-256 for odd ones."""
+    odd = odd.select(F.col("r1").alias("_r1"), F.col("r2").alias("_r2"), F.col("sha").alias("_sha"))
     mark = F.when(F.col("_sha").isNotNull(), F.concat(F.lit("-"), "_sha")).otherwise("")
-    return rows.join(odd, on, "left").withColumn("fingerprint", F.concat(_print(F.col("h1"), F.col("h2")), mark)).drop("_id", "_raw", "_sha")
+    both = rows.join(odd, (F.col("r1") == F.col("_r1")) & (F.col("r2") == F.col("_r2")), "left")
+    return both.withColumn("fingerprint", F.concat(_print(F.col("h1"), F.col("h2")), mark)).drop("_r1", "_r2", "_sha")
 
 
 def fingerprints(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id", scratch: Scratch | None = None) -> DataFrame:
@@ -156,8 +114,7 @@ def fingerprints(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_
     scratch = scratch or Scratch(docs.sparkSession, "fingerprint")
     base = _base(docs, text_col, id_col)
     out = scratch.keep(_hashed(base).withColumn("n_chars", F.length("text").cast("bigint")).drop("text"))
-    marked = _marked(out, collisions(base, out.drop("n_chars"), scratch), "id")
-    return marked.select(F.col("id").alias(id_col), "n_chars", "fingerprint")
+    return _marked(out, collisions(base, out.drop("n_chars"), scratch)).select(F.col("id").alias(id_col), "n_chars", "fingerprint")
 
 
 def _base(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
@@ -166,43 +123,49 @@ def _base(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
 
 def _hashed(base: DataFrame) -> DataFrame:
     h1, h2 = wide_hash(F.col("canon"))
-    return base.withColumn("canon", canonical(F.col("text"))).withColumn("h1", h1).withColumn("h2", h2).withColumn("raw", F.xxhash64("text")).drop("canon")
+    r1, r2 = raw_hash(F.col("text"))
+    return base.withColumn("canon", canonical(F.col("text"))).withColumns({"h1": h1, "h2": h2, "r1": r1, "r2": r2}).drop("canon")
+
+
+def _bounds(keys: DataFrame, blocks: int, scratch: Scratch) -> DataFrame:
+    """keys (key), dealt by Spark's own range partitioner to about ``blocks`` blocks: one row
+    that holds each block's greatest key, in order, as a list of lists."""
+    dealt = keys.repartitionByRange(max(1, blocks), "key").groupBy(F.spark_partition_id().alias("p")).agg(F.max("key").alias("e"))
+    ends = scratch.keep(dealt.select("e").distinct())
+    fan = max(1, math.isqrt(ends.count()))
+    held = ends.agg(F.array_sort(F.collect_set("e")).alias("ends"))
+    rows = F.sequence(F.lit(0), F.floor((F.size("ends") - 1) / fan).cast("int"))
+    return held.where(F.size("ends") > 0).select(F.transform(rows, lambda i: F.slice("ends", i * fan + 1, F.lit(fan))).alias("tree"))
 
 
-def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", cols: tuple[str, ...] = ()) -> DataFrame:
+def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", cols: tuple[str, ...] = (), scratch: Scratch | None = None) -> DataFrame:
     """id, ``cols``, text and next_<col>, next_text: of the next row by descending id (null
-    ids last, then text), after the last the first.
+    ids last, then by hash of the text), after the last the first.
 
-    Rows are dealt to blocks of neighbouring ids; each block also gets a copy of the
-    first row of the block after it, so one shuffle and a window within each block do.
+    Rows are dealt to blocks of neighbouring keys (id, hash); each block also gets a copy
+    of the greatest row of the block below it, so one shuffle and a window within each
+    block do. The blocks' bounds are a table's one row (an id and a hash for each
+    BLOCK_ROWS rows), not part of the plan. Repeated rows of one id and text follow one
+    another; ids may be of any type that has an order.
     """
-    n = docs.select(id_col).count()
-    blocks = max(1, -(-n // BLOCK_ROWS))
-    at = [i / blocks for i in range(1, blocks + 1)]
-    ends = docs.select(id_col).agg(F.percentile_approx(F.col(id_col), at, 20 * blocks).alias("e")).first()["e"] or []
-    ends = sorted(set(ends))  # block i: ids in (ends[i - 1], ends[i]]
-    i = F.col(id_col)
-    if len(ends) <= 1:
-        block = F.lit(0)
-    else:
-        groups = [ends[k : k + FAN] for k in range(0, len(ends), FAN)]
-        coarse = F.array(*[F.lit(g[-1]) for g in groups])
-        g = F.size(F.filter(coarse, lambda e: e < i))
-        fine = F.array(*[F.array(*[F.lit(e) for e in x]) for x in groups])
-        block = g * FAN + F.size(F.filter(F.get(fine, g), lambda e: e < i))
-        block = F.when(i.isNull(), F.lit(0)).otherwise(block)
-    # the greatest id of a block also closes the block above it; that of the last, the lowest
-    is_end = i.isin(ends) if len(ends) <= FAN else F.array_contains(F.get(fine, g), i)
-    above = F.pmod(block + 1, F.lit(max(1, len(ends))))
-    here = F.struct(block.alias("b"), F.lit(0).alias("extra"))
-    copy = F.struct(above.alias("b"), F.lit(1).alias("extra"))
-    if not ends:  # no row with an id
-        is_end, copy = F.lit(True), F.struct(F.lit(0).alias("b"), F.lit(1).alias("extra"))
-    at = F.explode(F.when(F.coalesce(is_end, F.lit(False)), F.array(here, copy)).otherwise(F.array(here))).alias("at")
-    rows = docs.select(id_col, *cols, text_col, at).select(id_col, *cols, text_col, F.col("at.b").alias("block"), F.col("at.extra").alias("extra"))
-    w = W.partitionBy("block").orderBy("extra", i.desc_nulls_last(), F.col(text_col))
-    nexts = [F.lead(c).over(w).alias(f"next_{c}") for c in (*cols, text_col)]  # one window for all
-    return rows.select(id_col, *cols, text_col, "extra", *nexts).where("extra = 0").drop("extra")
+    scratch = scratch or Scratch(docs.sparkSession, "next")
+    key = F.struct(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.lit("next"), F.col(f"`{text_col}`")).alias("h"))
+    keys = docs.select(key.alias("key"))
+    bounds = scratch.keep(_bounds(keys, -(-docs.count() // BLOCK_ROWS), scratch))
+    rows = docs.select(key.alias("key"), id_col, *cols, text_col).withColumn("tree", bounds.scalar())
+    lists = F.size(F.filter(F.transform("tree", lambda x: F.element_at(x, -1)), lambda e: e < F.col("key")))
+    rows = rows.withColumn("list", F.get("tree", lists)).withColumn("at", F.size(F.filter("list", lambda e: e < F.col("key"))))
+    last = F.element_at(F.element_at("tree", -1), -1)
+    fan, total = F.size(F.get("tree", F.lit(0))), F.aggregate("tree", F.lit(0), lambda n, x: n + F.size(x))
+    block = lists * fan + F.col("at")
+    here = F.struct(block.alias("b"), F.lit(1).alias("own"))
+    copy = F.struct(F.pmod(block + 1, total).alias("b"), F.lit(0).alias("own"))
+    is_end = F.col("key") == F.get("list", "at")
+    at = F.explode(F.when((is_end) | (F.col("key") == last), F.array(here, copy)).otherwise(F.array(here))).alias("at")
+    rows = rows.select("key", id_col, *cols, text_col, at).select("key", id_col, *cols, text_col, F.col("at.b").alias("block"), F.col("at.own").alias("own"))
+    w = W.partitionBy("block").orderBy("own", "key", F.col(text_col))
+    nexts = [F.lag(c).over(w).alias(f"next_{c}") for c in (*cols, text_col)]  # one window for all
+    return rows.select(id_col, *cols, text_col, "own", *nexts).where("own = 1").drop("own")
 
 
 def edited_fingerprints(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id", scratch: Scratch | None = None) -> DataFrame:
@@ -210,11 +173,13 @@ def edited_fingerprints(docs: DataFrame, *, text_col: str = "text", id_col: str
     replaced by the first as many (or all) of the next document's.
 
     Likeness of two fingerprints is 1.0 if they are equal, else 0.0: a digest has no
-    nearness between. Null texts count as empty.
+    nearness between. Null texts count as empty; null ids come last and are ordered by
+    their texts' hashes, as are rows of one id; repeated rows stay; an empty table gives
+    an empty result; other columns do not matter.
     """
     scratch = scratch or Scratch(docs.sparkSession, "fingerprint")
     base = _base(docs, text_col, id_col)
-    rows = with_next(_hashed(base), id_col="id", cols=("raw", "h1", "h2"))
+    rows = with_next(_hashed(base), id_col="id", cols=("r1", "r2", "h1", "h2"), scratch=scratch)
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
@@ -222,21 +187,23 @@ def edited_fingerprints(docs: DataFrame, *, text_col: str = "text", id_col: str
     e1, e2 = wide_hash(F.col("canon"))
     rows = rows.withColumn("e1", e1).withColumn("e2", e2)
 
-    def alike(a: tuple[str, str], canon: Column) -> Column:
+    def alike(a: tuple[str, str], other: Column) -> Column:
         met = (F.col("h1") == F.col(a[0])) & (F.col("h2") == F.col(a[1]))
-        return F.when(met, canonical(F.col("text")) == canon).otherwise(F.lit(False)).cast("double")
+        # equal texts need no canonical form
+        return F.when(~met, F.lit(False)).when(F.col("text") == other, F.lit(True)).otherwise(canonical(F.col("text")) == canonical(other)).cast("double")
 
     out = scratch.keep(rows.select(
         "id",
         n.cast("bigint").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        "raw",
+        "r1",
+        "r2",
         "h1",
         "h2",
         _print(F.col("e1"), F.col("e2")).alias("edited_fingerprint"),
-        alike(("e1", "e2"), F.col("canon")).alias("near_edited"),
-        alike(("next_h1", "next_h2"), canonical(F.col("next_text"))).alias("near_next"),
+        alike(("e1", "e2"), F.col("edited")).alias("near_edited"),
+        alike(("next_h1", "next_h2"), F.col("next_text")).alias("near_next"),
     ))
-    return _marked(out, collisions(base, out.select("id", "raw", "h1", "h2"), scratch), "id").select(
+    return _marked(out, collisions(base, out.select("id", "r1", "r2", "h1", "h2"), scratch)).select(
         F.col("id").alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"
     )
