@@ -61,7 +61,9 @@ def op5_information_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(_table(spark, sf_dir, "documents"))
     counts = [F.size(pii.of_kind(F.col("base"), kind)).cast("bigint").alias(f"n_{kind}") for kind in pii.KINDS]
     digest = F.sha2(pii.written(F.col("base")).cast("binary"), 256)
-    return found.select("doc_id", *counts, digest.alias("base_sha256"), pii.written(F.col("spans")).alias("spans"))
+    more = [F.size(pii.of_kind(F.col("spans"), kind)).cast("bigint").alias(f"n_{kind}") for kind in ("secret", "term")]
+    spans = F.col("spans")
+    return found.select("doc_id", *counts, digest.alias("base_sha256"), pii.written(spans).alias("spans"), *more, F.size(spans).cast("bigint").alias("n_spans"))
 
 
 def op6_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
