@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cloakframe.llm import langid, mix, shard
+from cloakframe.llm.common import row_digest, whole_rows
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -89,8 +90,29 @@ def test_mix_of_odd_rows(spark):
     out = mix.mix(docs(spark, rows)).collect()
     assert len(out) == 4 and all(r.taken <= 2 * r.size for r in out)
     assert mix.mix(docs(spark, [])).count() == 0
-    kept = mix.apply_copies(docs(spark, rows), mix.mix(docs(spark, rows), keep=("text", "lang", "source", "n_chars")), "copies")
+    kept = whole_rows(docs(spark, rows), mix.times(docs(spark, rows)))
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    assert kept.count() == sum(r.copies for r in out)
+
+
+def test_mix_of_one_repeated_row(spark):
+    rows = [(1, "en", "a", "two words")] * 2000 + [(i, "en", "b", "of three words") for i in range(100)]
+    df = spark.createDataFrame([(i, t, x, s, len(t)) for i, x, s, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = mix.mix(df).collect()
+    by = {t: sum(r.taken for r in out if r.target == t) for t in {r.target for r in out}}
+    assert len(out) == 2100 and all(abs(v - t) <= 0.01 * t + 10 for t, v in by.items()), by
+    assert sorted(r.taken for r in mix.mix(df.repartition(7)).collect()) == sorted(r.taken for r in out)
+
+
+def test_whole_rows(spark):
+    rows = [(1, "a", None), (1, "a", None), (None, None, 2), (None, 2 * "b", None), (3, "c", 3)]
+    df = spark.createDataFrame(rows, "w1 long, times string, shard int")
+    w1, w2 = row_digest(df)
+    want = df.select(w1.alias("w1"), w2.alias("w2")).distinct().withColumn("times", F.lit(70_000)).withColumn("shard", F.lit(9))
+    got = whole_rows(df, want.where("w1 is not null"))
+    assert got.columns == ["w1", "times", "shard", "_shard"]
+    assert got.count() == 4 * 70_000 and {tuple(r) for r in got.distinct().collect()} == {(*r, 9) for r in rows}
+    assert whole_rows(df.limit(0), want).count() == 0
 
 
 WORDS = {"en": "the of and with from house water light".split(), "de": "der die und nicht haus wasser licht für".split(), "fr": "le la et dans maison eau lumière être".split()}
