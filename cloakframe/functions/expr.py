@@ -70,9 +70,15 @@ _DECIMAL = r"-?\d+\.\d+"
 
 
 def round_wkt(col: Column, precision: int) -> Column:
-    """Every decimal number of the string, rounded (to 6.0 and the like at precision 0)."""
+    """Every decimal number of the string, rounded (to 6.0 and the like at precision 0). What
+    a negative number rounds to keeps its sign: -0.0."""
     gaps, found = F.split(col, _DECIMAL, -1), F.regexp_extract_all(col, F.lit(_DECIMAL), F.lit(0))
-    said = F.transform(found, lambda x: F.bround(x.cast("double"), precision).cast("string"))
+
+    def rounded(x: Column) -> Column:
+        near = F.bround(x.cast("double"), precision)
+        return F.when(x.startswith("-") & (near == 0), F.lit("-0.0")).otherwise(near.cast("string"))
+
+    said = F.transform(found, rounded)
     return F.array_join(F.transform(F.arrays_zip(gaps.alias("g"), said.alias("n")), lambda z: F.concat(z["g"], F.coalesce(z["n"], F.lit("")))), "")
 
 
