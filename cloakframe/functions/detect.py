@@ -59,12 +59,16 @@ def _shortened(word: str, most: int) -> set[str]:
     return out
 
 
+#: Letters of the longest seed.
+LONGEST = max(len(w) for words in P.CONCEPTS.values() for w in " ".join(words).split())
+
+
 @lru_cache(maxsize=1)
 def _seeds() -> tuple[dict[str, str], dict[str, tuple[str, ...]]]:
     """{seed: entity}, and {shortened seed: seeds} of those long enough to be misspelt."""
     exact: dict[str, str] = {}
     for entity, words in P.CONCEPTS.items():
-        for w in words.split():
+        for w in " ".join(words).split():
             exact.setdefault(w, entity)
     near: dict[str, tuple[str, ...]] = {}
     for w in exact:
@@ -79,7 +83,7 @@ def concept_of(word: str) -> str | None:
     """The special category of a word: a seed, or one within 2 edits (1 under 6 letters);
     short acronyms only as they are."""
     exact, near = _seeds()
-    if word in exact or not 5 <= len(word) <= 30:
+    if word in exact or not 5 <= len(word) <= LONGEST + 2:
         return exact.get(word)
     most = 2 if len(word) >= 6 else 1
     found = {s for x in _shortened(word, most) for s in near.get(x, ())}
