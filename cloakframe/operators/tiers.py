@@ -14,25 +14,25 @@ from ..functions import detect
 from ..model import MUST_ANONYMIZE, Action, ColumnPolicy, action_of
 from .profile import column_samples, free_text_values, identifier_name
 
-# External label names by entity (the last part of a dotted label), and one
-# phrase per language for each concept that a column's name can mean.
+# External label names by entity (the last part of a dotted label).
 LABEL_ENTITIES = {
     "NAME": "PERSON", "PERSON_NAME": "PERSON", "EMAIL": "EMAIL_ADDRESS", "PHONE_NUMBER": "PHONE_NUMBER", "PHYSICAL_ADDRESS": "STREET_ADDRESS",
     "DATE_OF_BIRTH": "DATE_OF_BIRTH", "IPADDRESS": "IP_ADDRESS", "CREDIT_CARD_NUMBER": "CREDIT_CARD", "IBAN_CODE": "IBAN_CODE",
     "SOCIAL_SECURITY_NUMBER": "US_SSN", "NATIONAL_ID": "IDENTIFIER", "PERSON_ID": "IDENTIFIER",
 }
+#: What columns of an entity tend to be called, by language.
 PHRASES = {
-    "PERSON": ("person name", "nom de personne", "personenname", "personenumm"),
-    "EMAIL_ADDRESS": ("email address", "adresse e-mail", "e-mail-adresse", "e-mail-adress"),
-    "PHONE_NUMBER": ("phone number", "numéro de téléphone", "telefonnummer", "telefonsnummer"),
-    "STREET_ADDRESS": ("postal address", "adresse postale", "postanschrift", "postadress"),
-    "DATE_OF_BIRTH": ("date of birth", "date de naissance", "geburtsdatum", "gebuertsdatum"),
-    "IDENTIFIER": ("primary key column", "clé primaire", "primärschlüssel", "primärschlëssel"),
-    "IBAN_CODE": ("bank account number", "numéro de compte bancaire", "bankkontonummer", "bankkontosnummer"),
-    "CREDIT_CARD": ("credit card number", "numéro de carte de crédit", "kreditkartennummer", "kreditkaartnummer"),
-    "SALARY": ("salary amount", "montant du salaire", "gehaltsbetrag", "salärbetrag"),
-    "HEALTH_CONDITION": ("medical diagnosis", "diagnostic médical", "medizinische diagnose", "medezinesch diagnos"),
-    "FREE_TEXT": ("free text comment", "commentaire en texte libre", "freitext-kommentar", "fräi text kommentar"),
+    "PERSON": {"en": ("first name", "last name", "full name", "surname"), "fr": ("prénom", "nom de famille", "nom complet"), "de": ("vorname", "nachname", "familienname"), "lb": ("virnumm", "familljennumm", "numm")},
+    "EMAIL_ADDRESS": {"en": ("email", "mail address"), "fr": ("courriel", "adresse mail"), "de": ("mailadresse",), "lb": ("mailadress",)},
+    "PHONE_NUMBER": {"en": ("phone", "telephone", "mobile number"), "fr": ("téléphone", "numéro de portable"), "de": ("telefon", "handynummer"), "lb": ("telefon", "handysnummer")},
+    "STREET_ADDRESS": {"en": ("street address", "home address"), "fr": ("rue", "adresse du domicile"), "de": ("straße", "wohnanschrift"), "lb": ("strooss", "wunnadress")},
+    "DATE_OF_BIRTH": {"en": ("birth date", "birthday"), "fr": ("né le", "jour de naissance"), "de": ("geburtstag",), "lb": ("gebuertsdag",)},
+    "IDENTIFIER": {"en": ("unique key", "record identifier"), "fr": ("identifiant",), "de": ("schlüssel", "kennung"), "lb": ("schlëssel",)},
+    "IBAN_CODE": {"en": ("iban", "account number"), "fr": ("numéro de compte",), "de": ("kontonummer",), "lb": ("kontosnummer",)},
+    "CREDIT_CARD": {"en": ("card number", "payment card"), "fr": ("carte bancaire",), "de": ("kartennummer",), "lb": ("kaartennummer",)},
+    "SALARY": {"en": ("salary", "monthly pay"), "fr": ("salaire",), "de": ("gehalt", "lohn"), "lb": ("salär", "loun")},
+    "HEALTH_CONDITION": {"en": ("diagnosis", "illness"), "fr": ("diagnostic", "maladie"), "de": ("diagnose", "erkrankung"), "lb": ("diagnos", "krankheet")},
+    "FREE_TEXT": {"en": ("comment", "remarks", "free text"), "fr": ("commentaire", "remarques"), "de": ("kommentar", "bemerkungen"), "lb": ("kommentar", "bemierkungen")},
 }
 #: Share of a column's non-null samples that must hold the winning entity.
 VOTE = 0.5
@@ -92,12 +92,13 @@ def likeness(a: str, b: str) -> float:
     return dot / math.sqrt(sum(n * n for n in x.values()) * sum(n * n for n in y.values())) if dot else 0.0
 
 
-def by_likeness(columns: list[str], threshold: float = 0.55, like: Callable[[str, str], float] = likeness) -> dict[str, ColumnPolicy]:
-    """The concept whose phrase is likest to the name, in any language. Word vectors can be
-    given as ``like``; without them it is a likeness of letters."""
+def by_likeness(columns: list[str], threshold: float = 0.55, like: Callable[[str, str], float] = likeness, languages: tuple[str, ...] = ()) -> dict[str, ColumnPolicy]:
+    """The entity whose phrase is likest to the name, in any of ``languages`` (none: in all).
+    Word vectors can be given as ``like``; without them it is a likeness of letters."""
     out = {}
     for c in columns:
-        score, entity = max(((max(like(c, p) for p in phrases), e) for e, phrases in PHRASES.items()), key=lambda x: (x[0], x[1]))
+        said = [(like(c, p), e) for e, by in PHRASES.items() for language, phrases in by.items() if not languages or language in languages for p in phrases]
+        score, entity = max(said, default=(0.0, ""))
         if score >= threshold:
             out[c] = policy(c, entity, "name_similarity", round(score, 6))
     return out
