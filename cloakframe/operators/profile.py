@@ -9,7 +9,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 from dateutil import parser as dates
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,6 +93,52 @@ def sensitive_values(values: list, kind: T.DataType) -> bool:
     return not isinstance(kind, T.BooleanType) and n >= 5 and len(set(map(str, values))) <= max(8, 0.2 * n) and entropy(values) > 0
 
 
+# --- the same measures as aggregates, over a whole column ---------------------------
+
+
+def unique_share(col: Column) -> Column:
+    return F.count_distinct(col) / F.count(col)
+
+
+def code_share(col: Column) -> Column:
+    """Share of values shaped like codes with letters and digits both."""
+    ok = F.trim(col).rlike(r"^[A-Za-z0-9_.:@/-]{3,128}$") & col.rlike("[0-9]") & col.rlike("[A-Za-z]")
+    return F.avg(ok.cast("double"))
+
+
+def inside_share(col: Column, low: float, high: float) -> Column:
+    """Share of the values that are not null in [low, high]."""
+    return F.avg(F.when(col.isNotNull(), col.between(low, high).cast("double")))
+
+
+def all_inside(col: Column, low: float, high: float) -> Column:
+    return (F.min(col) >= low) & (F.max(col) <= high)
+
+
+def quasi_number(col: Column) -> Column:
+    """Whether a numeric column repeats its values, and they are those of an age or the like."""
+    return (F.count_distinct(col) <= 0.4 * F.count(col)) & (inside_share(col, 0, 130) >= 0.8)
+
+
+def text_lengths(col: Column) -> tuple[Column, Column]:
+    """Mean characters and words of the values."""
+    edge = r"[ \t\n\r\f\x0B]+"
+    words = F.size(F.split(F.regexp_replace(col, f"^{edge}|{edge}$", ""), edge))
+    return F.avg(F.length(col)), F.avg(words)
+
+
+def document_share(col: Column) -> Column:
+    """Share of values that begin like a JSON object or array."""
+    return F.avg(F.substring(F.trim(col), 1, 1).isin("{", "[").cast("double"))
+
+
+def entropy_of(df: DataFrame, col: str) -> DataFrame:
+    """One row: the entropy of a column's values in bits. Only counts of values are shuffled."""
+    counts = df.groupBy(col).agg(F.count("*").alias("n"))
+    # sum p log p = sum n log n / N - log N
+    return counts.agg((F.log2(F.sum("n").cast("double")) - F.sum(F.col("n") * F.log2("n")) / F.sum("n")).alias("entropy"))
+
+
 def classify(df: DataFrame, samples: dict[str, list] | None = None) -> list[ColumnProfile]:
     """A profile of every column, in order."""
     samples = column_samples(df) if samples is None else samples
@@ -166,7 +212,7 @@ def speed_column(df: DataFrame) -> str | None:
     named = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and tokens(f.name) & SPEED_TOKENS]
     if not named:
         return None
-    got = df.agg(*[F.avg(F.when(F.col(f"`{c}`").isNotNull(), F.col(f"`{c}`").between(0, 300).cast("double"))).alias(c) for c in named]).first()
+    got = df.agg(*[inside_share(F.col(f"`{c}`"), 0, 300).alias(c) for c in named]).first()
     return next((c for c in named if (got[c] or 0) >= 0.8), None)
 
 

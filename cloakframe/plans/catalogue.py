@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .. import config
 from ..functions import expr
 from ..operators import columns as cols
-from ..operators import groups, policies, residual, scan, tokens
-from ..sources import recency, sinks
+from ..operators import groups, policies, profile, residual, scan, tokens
+from ..sources import recency
 from . import audit as auditing
 from . import dashboard, run_table
 
@@ -208,9 +209,9 @@ def gps_round_strings(spark: SparkSession, d: str) -> DataFrame:
     return cols.round_gps(t, ["latitude"], 2)
 
 
-@query("SELECT event_id, 'POINT (' || CAST(round_even(CAST(user_id AS DOUBLE) / 8 + 0.0625, 1) AS DOUBLE) || ' ' || CAST(round_even(-CAST(event_id AS DOUBLE) / 16 - 0.03125, 1) AS DOUBLE) || ')' AS geom FROM events WHERE event_id % 7 = 3")
+@query("SELECT event_id, 'POINT (' || CAST(round_even(CAST(user_id AS DOUBLE) / 8 + 0.0625, 1) AS DOUBLE) || ' ' || CAST(round_even(-CAST(event_id AS DOUBLE) / 16 - 0.03125, 1) AS DOUBLE) || ')' AS geom FROM events")
 def wkt_round(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "events").where("event_id % 7 = 3")
+    e = table(spark, d, "events")
     x, y = F.col("user_id").cast("double") / 8 + 0.0625, -F.col("event_id").cast("double") / 16 - 0.03125
     wkt = F.concat(F.lit("POINT ("), x.cast("decimal(20,6)").cast("string"), F.lit(" "), y.cast("decimal(20,6)").cast("string"), F.lit(")"))
     return cols.round_gps(e.select("event_id", wkt.alias("geom")), ["geom"], 1)
@@ -243,13 +244,12 @@ def trajectory_stats(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT round(avg(CASE WHEN value BETWEEN 0 AND 300 THEN 1.0 ELSE 0.0 END), 9) AS share FROM events WHERE value IS NOT NULL")
 def speed_range_share(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "events").agg(F.round(F.avg(F.col("value").between(0, 300).cast("double")), 9).alias("share"))
+    return table(spark, d, "events").agg(F.round(profile.inside_share(F.col("value"), 0, 300), 9).alias("share"))
 
 
 @query(f"SELECT min(lat) >= -180 AND max(lat) <= 180 AS lat_ok, min(lon) >= -180 AND max(lon) <= 180 AS lon_ok, min(speed) >= -180 AND max(speed) <= 180 AS speed_ok FROM ({_PLACES})")
 def gps_range_profile(spark: SparkSession, d: str) -> DataFrame:
-    inside = [(F.min(c) >= -180.0) & (F.max(c) <= 180.0) for c in ("lat", "lon", "speed")]
-    return _places(spark, d).agg(*[x.alias(f"{c}_ok") for c, x in zip(("lat", "lon", "speed"), inside, strict=True)])
+    return _places(spark, d).agg(*[profile.all_inside(F.col(c), -180.0, 180.0).alias(f"{c}_ok") for c in ("lat", "lon", "speed")])
 
 
 # --- profiles -----------------------------------------------------------------------
@@ -270,7 +270,7 @@ _O = ["o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice"]
 
 @query(_per_column_sql("orders", _O, "round(count(DISTINCT {c}) / count({c}), 9)"))
 def unique_ratio_profile(spark: SparkSession, d: str) -> DataFrame:
-    return _per_column(table(spark, d, "orders"), _O, lambda c: F.round(F.count_distinct(c) / F.count(c), 9))
+    return _per_column(table(spark, d, "orders"), _O, lambda c: F.round(profile.unique_share(c), 9))
 
 
 _N = ["c_name", "c_mktsegment"]
@@ -279,11 +279,7 @@ _SHAPED = "round(avg(CASE WHEN regexp_full_match(trim({c}), '[A-Za-z0-9_.:@/-]{{
 
 @query(_per_column_sql("customer", _N, _SHAPED))
 def identifier_shape_profile(spark: SparkSession, d: str) -> DataFrame:
-    def share(c: Column) -> Column:
-        ok = F.trim(c).rlike(r"^[A-Za-z0-9_.:@/-]{3,128}$") & c.rlike("[0-9]") & c.rlike("[A-Za-z]")
-        return F.round(F.avg(ok.cast("double")), 9)
-
-    return _per_column(table(spark, d, "customer"), _N, share)
+    return _per_column(table(spark, d, "customer"), _N, lambda c: F.round(profile.code_share(c), 9))
 
 
 _Q = ["p_size", "p_retailprice", "p_partkey"]
@@ -291,18 +287,12 @@ _Q = ["p_size", "p_retailprice", "p_partkey"]
 
 @query(_per_column_sql("part", _Q, "CASE WHEN count(DISTINCT {c}) <= 0.4 * count({c}) AND avg(CASE WHEN {c} BETWEEN 0 AND 130 THEN 1.0 ELSE 0.0 END) >= 0.8 THEN 1 ELSE 0 END"))
 def quasi_identifier_profile(spark: SparkSession, d: str) -> DataFrame:
-    def quasi(c: Column) -> Column:
-        return F.when((F.count_distinct(c) <= 0.4 * F.count(c)) & (F.avg(c.between(0, 130).cast("double")) >= 0.8), 1).otherwise(0)
-
-    return _per_column(table(spark, d, "part"), _Q, quasi)
+    return _per_column(table(spark, d, "part"), _Q, lambda c: F.when(profile.quasi_number(c), 1).otherwise(0))
 
 
 @query("SELECT round(-sum(p * log2(p)), 9) AS entropy FROM (SELECT count(*) / sum(count(*)) OVER () AS p FROM events GROUP BY event_type)")
 def entropy_profile(spark: SparkSession, d: str) -> DataFrame:
-    counts = table(spark, d, "events").groupBy("event_type").count()
-    total = counts.agg(F.sum("count").alias("t"))
-    p = F.col("count") / F.col("t")
-    return counts.join(total, F.lit(True)).agg(F.round(-F.sum(p * F.log2(p)), 9).alias("entropy"))
+    return profile.entropy_of(table(spark, d, "events"), "event_type").select(F.round("entropy", 9).alias("entropy"))
 
 
 _FREE = "SELECT '{t}' AS tab, round(avg(length(text)), 6) AS avg_chars, round(avg(len(regexp_split_to_array(regexp_replace(text, '^[ \\t\\n\\r\\f\\v]+|[ \\t\\n\\r\\f\\v]+$', '', 'g'), '[ \\t\\n\\r\\f\\v]+'))), 6) AS avg_words FROM {t} WHERE text <> ''"
@@ -311,15 +301,15 @@ _FREE = "SELECT '{t}' AS tab, round(avg(length(text)), 6) AS avg_chars, round(av
 @query(" UNION ALL ".join(_FREE.format(t=t) for t in ("documents", "conversations")))
 def free_text_profile(spark: SparkSession, d: str) -> DataFrame:
     def one(name: str) -> DataFrame:
-        words = F.size(F.split(F.regexp_replace("text", r"^[ \t\n\r\f\x0B]+|[ \t\n\r\f\x0B]+$", ""), r"[ \t\n\r\f\x0B]+"))
-        return table(spark, d, name).where("text <> ''").agg(F.lit(name).alias("tab"), F.round(F.avg(F.length("text")), 6).alias("avg_chars"), F.round(F.avg(words), 6).alias("avg_words"))
+        chars, words = profile.text_lengths(F.col("text"))
+        return table(spark, d, name).where("text <> ''").agg(F.lit(name).alias("tab"), F.round(chars, 6).alias("avg_chars"), F.round(words, 6).alias("avg_words"))
 
     return one("documents").unionByName(one("conversations"))
 
 
 @query("SELECT round(avg(CASE WHEN left(trim(props), 1) IN ('{', '[') THEN 1.0 ELSE 0.0 END), 9) AS json_share FROM events")
 def json_shape_profile(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "events").agg(F.round(F.avg(F.substring(F.trim("props"), 1, 1).isin("{", "[").cast("double")), 9).alias("json_share"))
+    return table(spark, d, "events").agg(F.round(profile.document_share(F.col("props")), 9).alias("json_share"))
 
 
 @query("SELECT source, lang, round(share, 9) AS share FROM (SELECT source, lang, count(*) / sum(count(*)) OVER (PARTITION BY source) AS share FROM documents GROUP BY source, lang) WHERE share >= 0.5")
@@ -491,16 +481,21 @@ _CONTROL = "(VALUES ('GPS_PRECISION', '2', 1), ('K_ANONYMITY_MIN', '7', 1), ('GP
 
 @query(f"SELECT key, value FROM {_CONTROL} QUALIFY row_number() OVER (PARTITION BY key ORDER BY rank DESC) = 1")
 def config_overrides_precedence(spark: SparkSession, d: str) -> DataFrame:
-    base = spark.createDataFrame([("GPS_PRECISION", "1"), ("K_ANONYMITY_MIN", "5"), ("MAX_TABLE_WORKERS", "1")], "key string, value string")
-    rows = spark.createDataFrame([("GPS_PRECISION", "2"), ("K_ANONYMITY_MIN", "7")], "key string, value string")
-    return sinks.upsert(base, rows, ["key"])
+    env = {"GPS_PRECISION": "1", "K_ANONYMITY_MIN": "5", "MAX_TABLE_WORKERS": "1"}
+    got = config.load(env, rows=lambda: {"GPS_PRECISION": "2", "K_ANONYMITY_MIN": "7"})
+    rows = [("GPS_PRECISION", got.gps_precision), ("K_ANONYMITY_MIN", got.k_anonymity_min), ("MAX_TABLE_WORKERS", got.max_table_workers)]
+    return spark.createDataFrame([(k, str(v)) for k, v in rows], "key string, value string")
+
+
+_LISTS = """offered AS (SELECT DISTINCT 'lake/' || lower(c_mktsegment) || '_' || n_name AS t FROM customer JOIN nation ON c_nationkey = n_nationkey),
+known AS (SELECT DISTINCT 'lake/' || lower(c_mktsegment) || '_' || n_name AS t FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 9900)"""
 
 
-@query("SELECT DISTINCT c_nationkey AS nation FROM customer WHERE c_custkey % 3 = 0 AND c_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_suppkey % 2 = 0) ")
+@query(f"WITH {_LISTS} SELECT t FROM offered WHERE t NOT IN (SELECT t FROM known)")
 def discovery_antijoin(spark: SparkSession, d: str) -> DataFrame:
-    offered = table(spark, d, "customer").where("c_custkey % 3 = 0").select(F.col("c_nationkey").alias("nation")).distinct()
-    known = table(spark, d, "supplier").where("s_suppkey % 2 = 0").select(F.col("s_nationkey").alias("nation"))
-    return offered.join(known, "nation", "left_anti")
+    named = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    offered = named.select(F.concat(F.lit("lake/"), F.lower("c_mktsegment"), F.lit("_"), F.col("n_name")).alias("t"), "c_acctbal")
+    return offered.select("t").distinct().join(offered.where("c_acctbal > 9900").select("t"), "t", "left_anti")
 
 
 @query("SELECT a.vec_id, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 5) AS cosine FROM embeddings a, (SELECT embedding FROM embeddings WHERE vec_id = 0) b")
