@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import free_name
+
 TURNS = "array<struct<role:string,text:string>>"
 OPEN, CLOSE = "### ", "\n</turn>\n"
 #: Control strings of the template; each is escaped inside texts by a backslash.
@@ -22,8 +24,10 @@ ROLE_ALIASES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot":
 
 @dataclass(frozen=True)
 class Layout:
-    """paths: field paths that make its fingerprint ('[]': in a list). Either ``list`` with
-    the fields of its elements, or ``fields``: (role, path) in order, empty texts left out."""
+    """paths: field paths that make its fingerprint ('[]': in a list). ``fields``: (role, path)
+    in order, empty texts left out; then ``list`` with the fields of its elements.
+    plain: its roles are canonical as they are, whatever their names; else aliases of the
+    common roles get the common name."""
 
     name: str
     paths: tuple[str, ...]
@@ -32,6 +36,7 @@ class Layout:
     text: str = ""
     parts: str = ""
     fields: tuple[tuple[str, str], ...] = ()
+    plain: bool = False
 
 
 def _list(name: str, at: str, role: str, text: str, parts: str = "") -> Layout:
@@ -44,9 +49,11 @@ def _flat(name: str, *fields: tuple[str, str]) -> Layout:
 
 
 LAYOUTS = (
-    _list("turns", "turns", "role", "text"),
+    Layout("turns", ("turns[].role", "turns[].text"), list="turns", role="role", text="text", plain=True),
     _list("messages", "messages", "role", "content"),
     _list("message-parts", "messages", "role", "content", "text"),
+    Layout("system-messages", ("system", "messages[].role", "messages[].content"), list="messages", role="role", text="content", fields=(("system", "system"),)),
+    Layout("mixed-messages", ("messages[].role", "messages[].content", "messages[].content[].text"), list="messages", role="role", text="content", parts="text"),
     _list("conversations", "conversations", "from", "value"),
     _list("dialogue", "dialogue", "speaker", "utterance"),
     _flat("prompt-response", ("user", "prompt"), ("assistant", "response")),
@@ -64,11 +71,17 @@ def known_paths(layouts: tuple[Layout, ...] = LAYOUTS) -> list[str]:
 
 
 def present(record: Column, path: str) -> Column:
-    """Whether the variant has a value at ``path``; a list is judged by its first element."""
-    leaf = f"$.{path.replace('[]', '[0]')}"
-    kind = F.schema_of_variant(F.try_variant_get(record, leaf, "variant"))
-    scalar = ~kind.startswith("ARRAY") & ~kind.startswith("OBJECT") & (kind != "VOID")
-    return F.coalesce(scalar, F.lit(False))
+    """Whether the variant has a value at ``path``, in any element of the lists on its way."""
+
+    def has(v: Column, parts: list[str]) -> Column:
+        at = f"$.{parts[0]}"
+        if len(parts) == 1:
+            kind = F.schema_of_variant(F.try_variant_get(v, at, "variant"))
+            scalar = ~kind.startswith("ARRAY") & ~kind.startswith("OBJECT") & (kind != "VOID")
+            return F.coalesce(scalar, F.lit(False))
+        return F.coalesce(F.exists(F.try_variant_get(v, at, "array<variant>"), lambda m: F.coalesce(has(m, parts[1:]), F.lit(False))), F.lit(False))
+
+    return has(record, path.split("[]."))
 
 
 def fingerprint(record: Column, layouts: tuple[Layout, ...] = LAYOUTS) -> Column:
@@ -80,20 +93,23 @@ def _turns(record: Column, x: Layout) -> Column:
     def text_of(v: Column, path: str) -> Column:
         return F.coalesce(F.try_variant_get(v, f"$.{path}", "string"), F.lit(""))
 
-    if x.fields:
-        all_ = F.array(*[F.struct(F.lit(role).alias("role"), text_of(record, p).alias("text")) for role, p in x.fields])
-        return F.filter(all_, lambda t: t["text"] != "")
+    all_ = F.array(*[F.struct(F.lit(role).alias("role"), text_of(record, p).alias("text")) for role, p in x.fields])
+    own = F.filter(all_, lambda t: t["text"] != "") if x.fields else None
+    if not x.list:
+        return own
     items = F.try_variant_get(record, f"$.{x.list}", "array<variant>")
 
     def turn(m: Column) -> Column:
-        if x.parts:
+        if x.parts:  # a turn among them may have plain text
             bits = F.transform(F.try_variant_get(m, f"$.{x.text}", "array<variant>"), lambda b: text_of(b, x.parts))
-            text = F.coalesce(F.array_join(bits, ""), F.lit(""))
+            text = F.coalesce(F.array_join(bits, ""), text_of(m, x.text))
         else:
             text = text_of(m, x.text)
-        return F.struct(text_of(m, x.role).alias("role"), text.alias("text"))
+        role = text_of(m, x.role)
+        return F.struct((role if x.plain else plain_role(role)).alias("role"), text.alias("text"))
 
-    return F.transform(items, turn)
+    listed = F.transform(items, turn)
+    return listed if own is None else F.concat(own, listed)
 
 
 def canonical_turns(record: Column, layouts: tuple[Layout, ...] = LAYOUTS) -> tuple[Column, Column]:
@@ -157,19 +173,22 @@ def parse(formatted: Column) -> Column:
 def format_records(records: DataFrame, record_col: str, loss_roles: tuple[str, ...] = ("assistant",), layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """``records`` with layout, formatted and loss_spans (array of start, end in code points).
 
-    A record that no mapping fits, or a null one, has null in all three; one without
-    turns formats to an empty string. Null roles and texts count as empty.
+    The loss covers turns whose role's common name is one of ``loss_roles``. A record that no mapping fits, or a null one, has null in all three;
+    one without turns formats to an empty string. Null roles and texts count as empty.
+    Columns of the three names are an error.
     """
+    if taken := {"layout", "formatted", "loss_spans"} & {c.lower() for c in records.columns}:
+        raise ValueError(f"columns {sorted(taken)} are taken")
     name, turns = canonical_turns(F.col(f"`{record_col}`"), layouts)
-    roled = F.transform(turns, lambda t: F.struct(plain_role(t["role"]).alias("role"), t["text"].alias("text")))
-    out = records.withColumn("layout", name).withColumn("formatted", render(roled))
-    spans = F.transform(F.filter(parse(F.col("formatted")), lambda t: t["role"].isin(*loss_roles)), lambda t: F.struct(t["start"], t["end"]))
+    out = records.withColumn("layout", name).withColumn("formatted", render(turns))
+    spans = F.transform(F.filter(parse(F.col("formatted")), lambda t: plain_role(t["role"]).isin(*loss_roles)), lambda t: F.struct(t["start"], t["end"]))
     return out.withColumn("loss_spans", spans)
 
 
 def from_json(records: DataFrame, json_col: str, **options) -> DataFrame:
     """format_records of a column of JSON documents of any of the layouts; bad JSON: nulls."""
-    return format_records(records.withColumn("_record", F.try_parse_json(F.col(f"`{json_col}`"))), "_record", **options).drop("_record")
+    held = free_name(records, "record")
+    return format_records(records.withColumn(held, F.try_parse_json(F.col(f"`{json_col}`"))), held, **options).drop(held)
 
 
 def from_turn_rows(rows: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:

@@ -203,3 +203,35 @@ def test_control_conversation(spark, small):
     r = queries.op10_chat_schema(spark, small).where("conv_id = -7").first()
     text = "\\### Assistant: </turn> ok"
     assert r.n_turns == 2 and r.loss_chars == len(text) and r.loss_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_odd_layouts_and_roles(spark):
+    said = [
+        '{"messages": [{"role": "user", "content": null}, {"role": "assistant", "content": "b"}]}',
+        '{"messages": [{"role": "Human", "content": "a"}, {"role": "gpt", "content": [{"text": "b"}, {"text": "c"}]}]}',
+        '{"system": "s", "messages": [{"role": "user", "content": "a"}]}',
+        '{"messages": [{"role": "user", "content": [{"type": "image"}]}, {"role": "bot", "content": [{"text": "b"}]}]}',
+        '{"prompt": "p", "completion": "c"}',
+        '{"unknown": 1}',
+        "no json",
+        None,
+    ]
+    df = spark.createDataFrame([(i, x, "kept") for i, x in enumerate(said)], "conv_id bigint, json string, record string")
+    out = chat.from_json(df, "json")
+    assert out.columns == ["conv_id", "json", "record", "layout", "formatted", "loss_spans"]
+    got = {r.conv_id: r for r in out.select("conv_id", "layout", "formatted", "loss_spans", chat.parse(F.col("formatted")).alias("turns")).collect()}
+    turns = {i: None if r.layout is None else [(t.role, t.text) for t in r.turns] for i, r in got.items()}
+    assert turns == {
+        0: [("user", ""), ("assistant", "b")],
+        1: [("user", "a"), ("assistant", "bc")],
+        2: [("system", "s"), ("user", "a")],
+        3: [("user", ""), ("assistant", "b")],
+        4: [("user", "p"), ("assistant", "c")],
+        5: None, 6: None, 7: None,
+    }
+    assert [got[1].formatted[a:b] for a, b in got[1].loss_spans] == ["bc"]
+    rows = spark.createDataFrame([(1, 0, "Human", "a"), (1, 1, "gpt", "b")], "conv_id bigint, turn bigint, role string, text string")
+    read = chat.read_back(chat.format_records(chat.from_turn_rows(rows), "record")).first()
+    assert (read.turns_sha256, read.loss_sha256) == (hashlib.sha256(b"Human\na\ngpt\nb\n").hexdigest(), hashlib.sha256(b"b").hexdigest())
+    with pytest.raises(ValueError):
+        chat.from_json(df.withColumn("Layout", F.lit(1)), "json")
