@@ -138,6 +138,36 @@ def test_repeated_passages(spark, hot):
     assert substrings.repeated_passages(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
 
+def test_passages_that_come_again():
+    word = lambda n, x: [f"{x}{i}" for i in range(n)]
+    p = word(55, "p")
+
+    def hashes(words):
+        return next(textscan.shingle_pieces(pa.array([" ".join(words)])))[1]
+
+    a, b = hashes(p), hashes(p[:25] + word(30, "o") + p)
+    assert [x[:4] for x in substrings.passages(a, b)] == [(0, 55, 55, 110)]
+    assert [x[:2] for x in substrings.passages(b, a)] == [(55, 110)]
+    twice = hashes(word(40, "q") + p + word(60, "r") + p)
+    assert {x[:2] for x in substrings.passages(twice, a)} == {(40, 95), (155, 210)}
+    assert substrings.passages(hashes(word(80, "s")), a) == [] == substrings.passages(hashes([]), a)
+
+
+def test_noisy_copies_of_one_passage(spark):
+    r = random.Random(4)
+    fresh = lambda n: [f"u{r.randint(0, 10**9)}" for _ in range(n)]
+    passage = fresh(70)
+    rows = [(i, " ".join(fresh(60) + edited(r, passage, 0.02) + fresh(60))) for i in range(40)] + [(100 + i, " ".join(fresh(150))) for i in range(5)]
+
+    def hashes(t):
+        return next(textscan.shingle_pieces(pa.array([t])))[1]
+
+    h = [hashes(t) for _, t in rows]
+    want = {rows[i][0] for i in range(len(rows)) if any(j != i and substrings.passages(h[i], h[j]) for j in range(len(rows)))}
+    got = {x.doc_id for x in substrings.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got <= want <= set(range(40)) and len(got) >= 0.9 * len(want), (len(got), len(want))
+
+
 def test_templates(spark):
     bench = spark.createDataFrame([(1, "A train leaves Boston at 5 hours with 120 passengers and Alice has 5 apples left over"), (2, "too short"), (3, "what is the capital city"), (4, None)], "item_id bigint, text string")
     rows = [
