@@ -67,6 +67,13 @@ def test_join_equals_brute_force(spark, seed, hot):
     assert sorted(map(tuple, got)) == brute_components(rows)
 
 
+def test_join_in_parts_and_blocks_equals_brute_force(spark):
+    rows = family_rows(4, 120)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = ngramjoin.join_components(df, bits=12, hot_level=1, block_rows=8).collect()
+    assert sorted(map(tuple, got)) == brute_components(rows)
+
+
 def test_join_of_odd_rows(spark):
     long = " ".join(f"x{i}" for i in range(30000))
     rows = [(5, None), (6, ""), (7, " \n "), (8, "A b"), (9, "a B"), (9, "a B"), (10, "a b c"), (3, long), (4, long + " y")]
