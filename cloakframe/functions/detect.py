@@ -99,17 +99,21 @@ def analyze(text: str, entities: frozenset[str] | None = None) -> list[Finding]:
         if r.entity not in wanted and r.entity != "US_BANK_NUMBER" or r.digits and not numbers:
             continue
         for m in r.regex.finditer(text):
-            score = r.score
+            score, end = r.score, m.end()
             if r.valid is not None:
-                if not r.valid(m[0]):
+                said = m[0]
+                while not r.valid(said) and said:
+                    said = said.rpartition(" ")[0] if r.words else ""
+                if not said:
                     continue
+                end = m.start() + len(said)
                 score = 1.0 if r.sure else score
             if score < LIFTED and r.entity in P.CONTEXT:
-                before = _WORD.findall(text[max(0, m.start() - 120) : m.end()].lower())
+                before = _WORD.findall(text[max(0, m.start() - 120) : end].lower())
                 if any(_context_word(r.entity, w) for w in before[-LOOK_BACK - 2 :]):
                     score = max(score + LIFT, LIFTED)
             if score >= LEAST_SCORES.get(r.entity, LEAST_SCORE):
-                out.append((r.entity, m.start(), m.end(), score))
+                out.append((r.entity, m.start(), end, score))
     for m in _WORD.finditer(text):
         entity = concept_of(m[0].lower())
         if entity and entity in wanted:

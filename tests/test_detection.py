@@ -33,6 +33,12 @@ def test_clean(text):
     assert detect.is_token(text) or detect.resolve(detect.analyze(text)) == []
 
 
+def test_iban_before_words_and_beyond_ascii():
+    """Words after the account number do not hide it; letters without a value are none."""
+    for text, said in (("wire to GB82WEST12345698765432 now please", "GB82WEST12345698765432"), ("GB82 WEST 1234 5698 7654 32 is ours", "GB82 WEST 1234 5698 7654 32"), ("GB83WEST12345698765432 now", None), ("to \\u212aW82WEST12345698765432 now", None)):
+        assert [text[s:e] for x, s, e, _ in detect.analyze(text) if x == "IBAN_CODE"] == ([said] if said else [])
+
+
 def test_overlaps():
     found = [("A", 0, 5, 0.5), ("B", 3, 9, 0.9), ("C", 9, 12, 0.4), ("D", 0, 3, 0.4)]
     assert [f[0] for f in detect.resolve(found)] == ["D", "B", "C"]
