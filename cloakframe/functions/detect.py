@@ -17,6 +17,7 @@ from . import patterns as P
 LOOK_BACK, LIFT, LIFTED = 6, 0.35, 0.4
 TOKEN = re.compile(r"[A-Z][A-Z0-9_]*_\d+")
 _WORD = re.compile(r"[^\W\d_]+", re.U)
+_DIGIT = re.compile(r"\d")
 Finding = tuple[str, int, int, float]
 
 
@@ -94,10 +95,14 @@ def analyze(text: str, entities: frozenset[str] | None = None) -> list[Finding]:
     """All findings whose score reaches the entity's least, overlapping or not."""
     wanted = frozenset(entities_of()) if entities is None else entities
     out = []
-    numbers = any(c.isdigit() for c in text)
+    numbers = _DIGIT.search(text) is not None
+    # beyond ASCII a letter can match one that it is not the upper case of
+    lower = text.lower() if text.isascii() else None
     for r in _recognizers():
         if r.entity not in wanted and r.entity != "US_BANK_NUMBER" or r.digits and not numbers:
             continue
+        if r.pieces and lower is not None and not any(p in lower for p in r.pieces):
+            continue
         for m in r.regex.finditer(text):
             score, end = r.score, m.end()
             if r.valid is not None:
@@ -114,10 +119,10 @@ def analyze(text: str, entities: frozenset[str] | None = None) -> list[Finding]:
                     score = max(score + LIFT, LIFTED)
             if score >= LEAST_SCORES.get(r.entity, LEAST_SCORE):
                 out.append((r.entity, m.start(), end, score))
-    for m in _WORD.finditer(text):
-        entity = concept_of(m[0].lower())
-        if entity and entity in wanted:
-            out.append((entity, m.start(), m.end(), P.CONCEPT_SCORE))
+    told = {w: e for w in set(_WORD.findall(text)) if (e := concept_of(w.lower())) and e in wanted}
+    for m in _WORD.finditer(text) if told else ():
+        if m[0] in told:
+            out.append((told[m[0]], m.start(), m.end(), P.CONCEPT_SCORE))
     return out
 
 

@@ -61,6 +61,7 @@ class RunRecord:
     columns_hit: list[str] = field(default_factory=list)
     entity_counts: dict[str, int] = field(default_factory=dict)
     unique_entities: dict[str, int] = field(default_factory=dict)
+    column_entities: dict[str, dict[str, int]] = field(default_factory=dict)
     free_text_cols: list[str] = field(default_factory=list)
     k_anonymity_k: int | None = None
     quasi_columns: list[str] = field(default_factory=list)

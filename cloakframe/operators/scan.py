@@ -1,13 +1,13 @@
 """Free-text scan: findings by an Arrow UDF over distinct values, tokens by a dictionary.
 
-Values that native patterns rule out never reach Python; equal values are looked at
-once; what Python returns is (entity, text) findings, so that numbering and joins stay
-with Spark.
+Masking looks at equal strings once; what Python returns is findings, so that numbering and
+joins stay with Spark. Every string reaches Python, where a pattern is tried only on texts
+that hold a digit or a piece that its matches can't be without.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -20,6 +20,17 @@ from ..functions import detect, expr
 FOUND = "array<struct<entity:string,start:int,end:int,score:double>>"
 
 
+#: Tasks a core, at least, for text that comes in fewer: a scan costs far more than a shuffle.
+TASKS_A_CORE = 4
+
+
+def spread(source: DataFrame) -> DataFrame:
+    """A table as read, dealt over all cores where its files give fewer tasks than those
+    could share; one of many files is left as it is."""
+    least = TASKS_A_CORE * source.sparkSession.sparkContext.defaultParallelism
+    return source if source.rdd.getNumPartitions() >= least else source.repartition(least)
+
+
 def finder(entities: list[str] | None = None):
     """An Arrow UDF: string -> findings without overlaps, in order of start."""
     wanted = None if entities is None else frozenset(entities)
@@ -81,11 +92,13 @@ def findings(df: DataFrame, column: str, position: Column, entities: list[str] |
     return rows.join(distinct.withColumnRenamed("s", "s_"), F.col("s") == F.col("s_")).select("pos", "i", "s", "found")
 
 
-def anonymize(df: DataFrame, columns: list[str], position: Column, *, entities: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+def anonymize(df: DataFrame, columns: list[str], position: Column, *, entities: list[str] | None = None, keep: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """(df with tokens for what is found in ``columns``, counts: column, entity, n).
 
     Tokens are numbered by column, then row, then from right to left within a string,
-    as replacement goes; documents are masked in keys and strings, numbers stay.
+    as replacement goes; documents are masked in keys and strings, numbers stay. Findings
+    are read for the numbers, for each column and for the counts: ``keep`` (such as persist)
+    spares the scan's being done again for each.
     """
     columns = [c for c in columns if c in df.columns and isinstance(df.schema[c].dataType, T.StringType)]
     if not columns:
@@ -96,6 +109,7 @@ def anonymize(df: DataFrame, columns: list[str], position: Column, *, entities:
         held = one if held is None else held.unionByName(one)
     said = F.substring(F.col("s"), F.col("f.start") + 1, F.col("f.end") - F.col("f.start"))
     held = held.withColumn("said", said).withColumn("key", expr.token_key(F.col("said")))
+    held = held if keep is None else keep(held)
     order = F.struct(F.col("c"), F.struct("pos", "i", "j").alias("p"))
     keys = held.select(F.col("f.entity").alias("entity"), "key", order.alias("at")).groupBy("entity", "key").agg(F.min("at").alias("at"))
     table = _numbered(keys)

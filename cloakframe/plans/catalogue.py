@@ -401,7 +401,7 @@ def fuzzy_concept_tokens(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def detect_pii_spans(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents")
+    docs = scan.spread(table(spark, d, "documents").select("doc_id", "text"))
     found = docs.select("doc_id", F.explode(scan.finder()(F.col("text"))).alias("f"))
     return found.select("doc_id", "f.entity", "f.start", "f.end", "f.score")
 

@@ -89,11 +89,16 @@ def run_table(
             df = df.persist(StorageLevel.MEMORY_AND_DISK)
             held.append(df)
             run.total_rows, run.total_columns = df.count(), len(df.columns) - 1
-        out = transform(df, config, mapping.table, run, stage, secret=secret_of(config, vault), labels=labels, given=given)
+
+        def keep(found: DataFrame) -> DataFrame:
+            held.append(found.persist(StorageLevel.MEMORY_AND_DISK))
+            return found
+
+        out = transform(df, config, mapping.table, run, stage, secret=secret_of(config, vault), labels=labels, given=given, keep=keep)
         with stage("write"):
             sinks.overwrite(out, mapping.target, fmt)
         run.status, run.error_msg = "success", ""
-        tell(lambda: audit.column_events(run.run_id, {c: {e: n} for c, (e, n) in run_columns(run).items()}))
+        tell(lambda: audit.column_events(run.run_id, run.column_entities))
         if run.residual_pii:
             tell(lambda: audit.alert(run, "residual personal data", f"{run.residual_pii} findings in {run.table_name}"))
         return run
@@ -107,12 +112,9 @@ def run_table(
         tell(lambda: audit.close_run(run))
 
 
-def run_columns(run: RunRecord) -> dict[str, tuple[str, int]]:
-    return {c: ("MASKED", 1) for c in run.columns_hit}
-
-
-def transform(df: DataFrame, config: EngineConfig, table: str, run: RunRecord, stage, *, secret: bytes | None, labels=None, given: dict[str, ColumnPolicy] | None = None) -> DataFrame:
-    """The stages between reading and writing. ``df`` has POSITION, the result has not."""
+def transform(df: DataFrame, config: EngineConfig, table: str, run: RunRecord, stage, *, secret: bytes | None, labels=None, given: dict[str, ColumnPolicy] | None = None, keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """The stages between reading and writing. ``df`` has POSITION, the result has not;
+    ``keep`` holds what the text scan finds until the table is written."""
     position = F.col(POSITION)
     samples = None
     with stage("gps_detection_and_transform"):
@@ -164,6 +166,7 @@ def transform(df: DataFrame, config: EngineConfig, table: str, run: RunRecord, s
         run.skipped_columns = dict(done.skipped)
         for c, n in done.values_masked.items():
             run.entity_counts[done.entities[c]] = run.entity_counts.get(done.entities[c], 0) + n
+            run.column_entities[c] = {done.entities[c]: n}
     with stage("anonymization"):
         wanted = config.row_scan.get(table.lower(), frozenset())
         opted = [c for c in df.columns if c in wanted and c not in done.columns_processed and c not in run.hashed_columns]
@@ -171,9 +174,10 @@ def transform(df: DataFrame, config: EngineConfig, table: str, run: RunRecord, s
             opted = [c for c in opted if c not in excluded]
         run.columns_scanned = len(opted)
         if opted:
-            df, counts = scan.anonymize(df, opted, position, entities=entities_of(config.regions))
+            df, counts = scan.anonymize(df, opted, position, entities=entities_of(config.regions), keep=keep)
             for r in counts.collect():  # a row for each column and entity
                 run.entity_counts[r["entity"]] = run.entity_counts.get(r["entity"], 0) + r["n"]
+                run.column_entities.setdefault(r["column"], {})[r["entity"]] = r["n"]
                 if r["column"] not in run.columns_hit:
                     run.columns_hit.append(r["column"])
     df = df.drop(POSITION)

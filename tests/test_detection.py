@@ -1,4 +1,6 @@
 import json
+import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -33,6 +35,24 @@ def test_clean(text):
     assert detect.is_token(text) or detect.resolve(detect.analyze(text)) == []
 
 
+def test_what_is_looked_for_first_changes_no_finding(monkeypatch):
+    """Texts of pieces of all patterns, in both cases and beyond ASCII, against every pattern on every text."""
+    rng = random.Random(3)
+    bits = "POL-AB12 pol/XY99 Policy PoL\u0131cy polizza no. # BK- RSV/ABCD case FILE docket \u017fache 2021/CV/77 invoice Facture INV-20 a@b.example HTTP://x www.y http\u017f://z ::1 2001:db8::1 1:2 AB-C1/D2 ABCDEF DEUTDEFF swift booking flight born 1984 \u0663\u0664 \u00b2 diabtes Kranke \u212aranke DE123456789 court contract".split()
+    texts = ["".join(rng.choice(bits) + rng.choice((" ", " ", "", "\n")) for _ in range(rng.randint(0, 9))) for _ in range(4000)]
+    quick = [detect.analyze(t) for t in texts]
+    whole = [replace(r, digits=False, pieces=()) for r in detect._recognizers()]
+    monkeypatch.setattr(detect, "_recognizers", lambda: whole)
+    assert quick == [detect.analyze(t) for t in texts] and any(quick)
+
+
+def test_spread(spark):
+    one = spark.range(5).coalesce(1)
+    wide = spark.range(0, 500, 1, 500)
+    assert scan.spread(one).rdd.getNumPartitions() == scan.TASKS_A_CORE * spark.sparkContext.defaultParallelism
+    assert scan.spread(wide) is wide and scan.spread(one).count() == 5
+
+
 def test_iban_before_words_and_beyond_ascii():
     """Words after the account number do not hide it; letters without a value are none."""
     for text, said in (("wire to GB82WEST12345698765432 now please", "GB82WEST12345698765432"), ("GB82 WEST 1234 5698 7654 32 is ours", "GB82 WEST 1234 5698 7654 32"), ("GB83WEST12345698765432 now", None), ("to \\u212aW82WEST12345698765432 now", None)):
