@@ -87,6 +87,8 @@ def test_run_all_isolates_failures_and_audits(spark, tmp_path):
     r = out.first()
     assert len(r.user_id) == 24 and r.email.startswith("EMAIL_ADDRESS_") and "EMAIL_ADDRESS_" in r.notes and "@" not in r.notes
     assert done[1].hashed_columns == ["user_id"] and done[1].residual_pii == 0
+    events = {x.column_name: (x.detections, x.entity_counts) for x in audit.read("column_events").collect()}
+    assert events == {"email": (12, {"EMAIL_ADDRESS": 12}), "notes": (12, {"EMAIL_ADDRESS": 12})}
     runs = audit.runs()
     assert {(x.table_name, x.status) for x in runs.collect()} == {("people", "success"), ("none", "failure")}
     k = dashboard.kpis(runs).first()
