@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -145,6 +146,20 @@ def test_repeated_passages(spark, hot):
     assert substrings.repeated_passages(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
 
+def test_compact_windows_of_many_texts_take_little():
+    r = np.random.default_rng(5)
+    h = r.integers(0, 2**63, 260_000).astype(np.uint64)
+    h[100_000:101_000] = np.tile(h[:10], 100)  # minima that come again
+    offsets = np.append(np.arange(0, len(h), 650), len(h))
+    begun = time.process_time()
+    got = substrings.compact_windows(h, offsets, 1, 46)
+    took = time.process_time() - begun
+    begun = time.process_time()
+    for _ in range(8):
+        np.sort(h)
+    assert len(got[0]) and took < time.process_time() - begun
+
+
 def test_passages_that_come_again():
     word = lambda n, x: [f"{x}{i}" for i in range(n)]
     p = word(55, "p")
